@@ -18,9 +18,9 @@ DEFAULT_DATE = date(1970, 1, 1)
 
 _DECIMAL_TEXT = r"(?i)^\s*[+-]?(\d[\d_]*\.?[\d_]*|\.\d[\d_]*)(e[+-]?\d+)?\s*$|^\s*[+-]?(nan|inf|infinity)\s*$"
 _INTEGER_TEXT = r"^\s*[+-]?\d+(_\d+)*\s*$"
-_ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{3}(\d{3})?)?)?)?([+-]\d{2}:\d{2})?)?$"
+_BASIC_DAY = r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])"
+_ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?([+-]\d{2}(:?\d{2})?)?)?$"
 _LOOSE_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?$"
-_HAS_OFFSET = r"[T ].*[+-]\d{2}:\d{2}$"
 
 
 def _text(column: Column) -> Column:
@@ -73,15 +73,17 @@ def parse_ts_utc(column: Column, default: Column | datetime | None = None) -> Co
 
     A missing or unreadable value becomes the default, which is the current time unless one is given.
     """
-    text = F.translate(_text(column), "tz", "TZ")
-    text = F.regexp_replace(text, "Z$", "+00:00")
+    text = F.regexp_replace(F.translate(_text(column), "tz", "TZ"), "Z$", "+00:00")
+    text = F.regexp_replace(text, _BASIC_DAY, "$1-$2-$3")
     readable = text.rlike(_ISO_TEXT) | text.rlike(_LOOSE_TEXT)
-    day_only = ~text.rlike("[T ]")
-    hour_only = text.rlike(r"[T ]\d{2}([+-]|$)")
-    clock = F.when(hour_only, F.regexp_replace(text, r"([T ]\d{2})", "$1:00")).otherwise(text)
+    # written out in full: a time down to the minute, and an offset of hours and minutes
+    clock = F.regexp_replace(text, r"([T ]\d{2})(?=[+-]|$)", "$1:00")
+    clock = F.translate(clock, ",", ".")
     full = (
-        F.when(day_only, F.concat(clock, F.lit(" 00:00:00+00:00")))
-        .when(text.rlike(_HAS_OFFSET), clock)
+        F.when(~text.rlike("[T ]"), F.concat(text, F.lit(" 00:00:00+00:00")))
+        .when(text.rlike(r"[T ].*[+-]\d{2}$"), F.concat(clock, F.lit(":00")))
+        .when(text.rlike(r"[T ].*[+-]\d{4}$"), F.regexp_replace(clock, r"(\d{2})$", ":$1"))
+        .when(text.rlike(r"[T ].*[+-]\d{2}:\d{2}$"), clock)
         .otherwise(F.concat(clock, F.lit("+00:00")))
     )
     parsed = F.when(readable, full).try_cast("timestamp")
@@ -97,7 +99,7 @@ def parse_ts_utc(column: Column, default: Column | datetime | None = None) -> Co
 def parse_date(column: Column, default: date = DEFAULT_DATE) -> Column:
     """The date before a ``T``, ISO form only; anything else is the default."""
     text = F.regexp_replace(_text(column), r"(?U)^\s+|\s+$", "")
-    day = F.substring_index(text, "T", 1)
+    day = F.regexp_replace(F.substring_index(text, "T", 1), _BASIC_DAY, "$1-$2-$3")
     return F.coalesce(F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}$"), day).try_cast("date"), F.lit(default))
 
 

@@ -16,11 +16,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.lookup import lookup_join
 from basketry.plans.prepare import (
+    NO_CATEGORY,
     MartInputs,
     SmallSides,
     latest_purchases,
@@ -66,246 +67,248 @@ class FeatureSpec:
     fruit_lover_purchases: int = 3
 
 
-@dataclass(frozen=True)
-class _Scope:
-    """What measures are written with: the spec, the day, and whether a row stands for its purchase.
+# What a product can be, as bits of one number, so that "any item of this kind" is one bit_or however many kinds
+# there are. The bits after these stand for the names of the category catalogue.
+MARKS = ("milk", "fruit", "veggie", "meat", "organic", "bakery")
+CATEGORY_BIT = len(MARKS)
+MAX_CATEGORIES = 63 - CATEGORY_BIT
 
-    With the category set spread over rows, a purchase has several rows; ``first`` marks one of them.
-    """
 
-    spec: FeatureSpec
-    today: Column
-    first: Column
+def _text(value: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def since(self, days: int) -> Column:
-        return F.col("purchase_date") >= F.date_sub(self.today, days)
 
-    def count(self, condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(self.first & condition, F.lit(1)).otherwise(F.lit(0))), F.lit(0))
+def _bit(mark: str) -> str:
+    return f"{1 << MARKS.index(mark)}L"
 
-    def any(self, condition: Column) -> Column:
-        return F.max(F.when(condition, F.lit(1)).otherwise(F.lit(0)))
 
-    def once(self, value: Column) -> Column:
-        return F.when(self.first, value)
+def product_marks(spec: FeatureSpec, catalogue: Sequence[str] | None) -> str:
+    """The marks of a product as SQL. Without a catalogue the category bits stay empty."""
+    conditions = {
+        "milk": f"category_name = {_text(spec.milk_category)}",
+        "fruit": f"category_name = {_text(spec.fruit_category)}",
+        "veggie": f"category_name = {_text(spec.veggie_category)}",
+        "meat": f"category_name = {_text(spec.meat_category)}",
+        "organic": "is_organic",
+        "bakery": f"lower(product_name) RLIKE {_text('|'.join(spec.bakery_words))}",
+    }
+    bits = [f"if({condition}, {_bit(mark)}, 0L)" for mark, condition in conditions.items()]
+    if catalogue:
+        cases = [f"WHEN {_text(name)} THEN {1 << (CATEGORY_BIT + i)}L" for i, name in enumerate(catalogue)]
+        bits.append(f"CASE category_name {' '.join(cases)} ELSE 0L END")
+    return " | ".join(bits)
 
 
-def _city() -> Column:
-    delivered_to = F.when(F.col("is_delivery"), F.col("delivery_city_id"))
-    return F.when(F.col("known_store_pk").isNotNull(), F.coalesce(delivered_to, F.col("store_city_id")))
+@dataclass(frozen=True)
+class _Scope:
+    """What measures are written with: the spec, the day, whether a row stands for its purchase, and whether the
+    marks hold the categories.
 
+    If they do not, a purchase has one row per category; ``first`` is true on one of them.
+    """
 
-def _visited_store() -> Column:
-    return F.when(~F.col("is_delivery"), F.col("store_pk"))
+    spec: FeatureSpec
+    today: str
+    first: str = "true"
+    category_bits: bool = True
 
+    def since(self, days: int) -> str:
+        return f"purchase_date >= date_sub({self.today}, {days})"
 
-Measure = Callable[[_Scope], Column]
+    def count(self, condition: str) -> str:
+        return f"count_if({self.first} AND {condition})"
 
-# Aggregates over a customer's purchases. Whether a count of distinct values is one or more than one shows in
-# their minimum and maximum, which need no set.
-MEASURES: dict[str, Measure] = {
-    "n_purchases": lambda s: s.count(F.col("purchase_pk").isNotNull()),
-    "n_rows": lambda s: s.count(F.lit(True)),
-    "n_month": lambda s: s.count(s.since(s.spec.month_days)),
-    "last_date": lambda s: F.max("purchase_date"),
-    "any_delivery": lambda s: s.any(F.col("is_delivery")),
-    "avg_basket": lambda s: F.avg(s.once(F.col("total_amount"))),
-    "spent_week": lambda s: F.sum(s.once(F.when(s.since(s.spec.week_days), F.col("total_amount")))),
-    "any_night": lambda s: s.any(F.col("purchase_hour") >= s.spec.night_from_hour),
-    "any_morning": lambda s: s.any(F.col("purchase_hour") < s.spec.morning_before_hour),
-    "any_early": lambda s: s.any(F.col("purchase_hour").between(s.spec.early_from_hour, s.spec.early_to_hour)),
-    "n_cash": lambda s: s.count(F.col("payment_method_name") == s.spec.cash_name),
-    "n_card": lambda s: s.count(F.col("payment_method_name") == s.spec.card_name),
-    "n_weekend": lambda s: s.count(F.dayofweek("purchase_date").isin(1, 7)),
-    "min_city": lambda s: F.min(_city()),
-    "max_city": lambda s: F.max(_city()),
-    "min_store": lambda s: F.min(_visited_store()),
-    "max_store": lambda s: F.max(_visited_store()),
-    "any_milk_month": lambda s: s.any(F.col("has_milk") & s.since(s.spec.month_days)),
-    "any_fruit_short": lambda s: s.any(F.col("has_fruit") & s.since(s.spec.short_days)),
-    "any_veggie_short": lambda s: s.any(F.col("has_veggie") & s.since(s.spec.short_days)),
-    "any_meat_week": lambda s: s.any(F.col("has_meat") & s.since(s.spec.week_days)),
-    "any_meat_quarter": lambda s: s.any(F.col("has_meat") & s.since(s.spec.quarter_days)),
-    "any_organic": lambda s: s.any(F.col("has_organic")),
-    "any_bakery": lambda s: s.any(F.col("has_bakery")),
-    "n_fruit_month": lambda s: s.count(F.col("has_fruit") & s.since(s.spec.month_days)),
-    "n_baskets": lambda s: s.count(F.col("n_items").isNotNull()),
-    "n_single": lambda s: s.count(F.col("n_items") == 1),
-    "n_items_total": lambda s: F.sum(s.once(F.col("n_items"))),
-    "n_categories": lambda s: F.count_distinct(F.col("category_name")),
-}
+    def any(self, condition: str) -> str:
+        return f"max(if({condition}, 1, 0))"
+
+    def once(self, value: str) -> str:
+        return f"if({self.first}, {value}, NULL)"
+
+    def seen(self, mark: str, days: int | None = None) -> str:
+        """Whether an item with this mark was bought, in the last days if given."""
+        marks = "marks" if days is None else f"if({self.since(days)}, marks, NULL)"
+        return f"if(bit_or({marks}) & {_bit(mark)} <> 0, 1, 0)"
 
-# Marks of a product, and of a purchase that holds such a product.
-PRODUCT_MARKS: dict[str, Callable[[FeatureSpec], Column]] = {
-    "has_milk": lambda spec: F.col("category_name") == spec.milk_category,
-    "has_fruit": lambda spec: F.col("category_name") == spec.fruit_category,
-    "has_veggie": lambda spec: F.col("category_name") == spec.veggie_category,
-    "has_meat": lambda spec: F.col("category_name") == spec.meat_category,
-    "has_organic": lambda spec: F.col("is_organic"),
-    "has_bakery": lambda spec: F.lower("product_name").rlike("|".join(spec.bakery_words)),
-}
 
-# Which extra columns a measure reads.
-_MARKS_OF = {
-    "any_milk_month": "has_milk",
-    "any_fruit_short": "has_fruit",
-    "any_veggie_short": "has_veggie",
-    "any_meat_week": "has_meat",
-    "any_meat_quarter": "has_meat",
-    "any_organic": "has_organic",
-    "any_bakery": "has_bakery",
-    "n_fruit_month": "has_fruit",
+_CITY_OF = "if(known_store_pk IS NOT NULL, coalesce(if(is_delivery, delivery_city_id, NULL), store_city_id), NULL)"
+_VISITED_STORE = "if(NOT is_delivery, store_pk, NULL)"
+
+# Aggregates over a customer's purchases, in SQL. Whether a count of distinct values is one or more than one shows
+# in their minimum and maximum, which need no set. Equal aggregates in several measures are computed once.
+MEASURES: dict[str, Callable[[_Scope], str]] = {
+    "n_purchases": lambda s: s.count("purchase_pk IS NOT NULL"),
+    "n_rows": lambda s: s.count("true"),
+    "n_month": lambda s: s.count(s.since(s.spec.month_days)),
+    "last_date": lambda s: "max(purchase_date)",
+    "any_delivery": lambda s: s.any("is_delivery"),
+    "avg_basket": lambda s: f"avg({s.once('total_amount')})",
+    "spent_week": lambda s: f"sum(if({s.first} AND {s.since(s.spec.week_days)}, total_amount, NULL))",
+    "last_hour": lambda s: "max(purchase_hour)",
+    "first_hour": lambda s: "min(purchase_hour)",
+    "any_early": lambda s: s.any(f"purchase_hour BETWEEN {s.spec.early_from_hour} AND {s.spec.early_to_hour}"),
+    "n_cash": lambda s: s.count(f"payment_method_name = {_text(s.spec.cash_name)}"),
+    "n_card": lambda s: s.count(f"payment_method_name = {_text(s.spec.card_name)}"),
+    "n_weekend": lambda s: s.count("dayofweek(purchase_date) IN (1, 7)"),
+    "min_city": lambda s: f"min({_CITY_OF})",
+    "max_city": lambda s: f"max({_CITY_OF})",
+    "min_store": lambda s: f"min({_VISITED_STORE})",
+    "max_store": lambda s: f"max({_VISITED_STORE})",
+    "milk_month": lambda s: s.seen("milk", s.spec.month_days),
+    "fruit_short": lambda s: s.seen("fruit", s.spec.short_days),
+    "veggie_short": lambda s: s.seen("veggie", s.spec.short_days),
+    "meat_week": lambda s: s.seen("meat", s.spec.week_days),
+    "meat_quarter": lambda s: s.seen("meat", s.spec.quarter_days),
+    "organic": lambda s: s.seen("organic"),
+    "bakery": lambda s: s.seen("bakery"),
+    "n_fruit_month": lambda s: s.count(f"marks & {_bit('fruit')} <> 0 AND {s.since(s.spec.month_days)}"),
+    "n_baskets": lambda s: s.count("n_items IS NOT NULL"),
+    "n_single": lambda s: s.count("n_items = 1"),
+    "n_items_total": lambda s: f"sum({s.once('n_items')})",
+    "n_categories": lambda s: (
+        f"bit_count(shiftright(bit_or(marks), {CATEGORY_BIT}))"
+        if s.category_bits
+        else "count(DISTINCT category_name)"
+    ),
 }
-_ITEM_COUNTS = ("n_baskets", "n_single", "n_items_total")
-_PAYMENT = ("n_cash", "n_card")
-_CITY = ("min_city", "max_city")
+_MARK_MEASURES = frozenset(
+    ("milk_month", "fruit_short", "veggie_short", "meat_week", "meat_quarter", "organic", "bakery", "n_fruit_month")
+)
+_ITEM_COUNTS = frozenset(("n_baskets", "n_single", "n_items_total"))
+_PAYMENTS = frozenset(("n_cash", "n_card"))
+_CITIES = frozenset(("min_city", "max_city"))
 
 
 @dataclass(frozen=True)
 class Flag:
-    """A flag: the measures it reads and its condition; an undecided condition counts as not met."""
+    """A flag: the measures it reads and its condition in SQL; an undecided condition counts as not met."""
 
     needs: tuple[str, ...]
-    rule: Callable[[FeatureSpec, Column], Column]
-
-
-def _share(part: str, whole: str) -> Column:
-    return F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double"))
+    rule: Callable[[FeatureSpec, str], str]
 
 
 def _met(measure: str) -> Flag:
-    return Flag((measure,), lambda spec, today: F.col(measure) == 1)
+    return Flag((measure,), lambda spec, today: f"{measure} = 1")
 
 
 def _not_met(measure: str) -> Flag:
     """Also holds for customers without purchases."""
-    return Flag((measure,), lambda spec, today: F.coalesce(F.col(measure), F.lit(0)) == 0)
+    return Flag((measure,), lambda spec, today: f"coalesce({measure}, 0) = 0")
+
 
+def _share(part: str, whole: str, test: Callable[[FeatureSpec], str]) -> Flag:
+    return Flag((part, whole), lambda spec, today: f"try_divide({part}, {whole}) {test(spec)}")
 
-def _silent_since_short(spec: FeatureSpec, today: Column) -> Column:
-    last = F.col("last_date")
-    return (last >= F.date_sub(today, spec.month_days)) & (last < F.date_sub(today, spec.short_days))
+
+def _limit(measure: str, test: Callable[[FeatureSpec], str]) -> Flag:
+    return Flag((measure,), lambda spec, today: f"{measure} {test(spec)}")
 
 
 # In the order of the exported matrix.
 FLAGS: dict[str, Flag] = {
-    "bought_milk_last_30d": _met("any_milk_month"),
-    "bought_fruits_last_14d": _met("any_fruit_short"),
-    "not_bought_veggies_14d": _not_met("any_veggie_short"),
-    "recurrent_buyer": Flag(("n_month",), lambda spec, today: F.col("n_month") > spec.recurrent_over),
-    "inactive_14_30": Flag(("last_date",), _silent_since_short),
-    "new_customer": Flag((), lambda spec, today: F.col("reg_date") >= F.date_sub(today, spec.month_days)),
+    "bought_milk_last_30d": _met("milk_month"),
+    "bought_fruits_last_14d": _met("fruit_short"),
+    "not_bought_veggies_14d": _not_met("veggie_short"),
+    "recurrent_buyer": _limit("n_month", lambda spec: f"> {spec.recurrent_over}"),
+    "inactive_14_30": Flag(
+        ("last_date",),
+        lambda spec, today: f"last_date >= date_sub({today}, {spec.month_days}) "
+        f"AND last_date < date_sub({today}, {spec.short_days})",
+    ),
+    "new_customer": Flag((), lambda spec, today: f"reg_date >= date_sub({today}, {spec.month_days})"),
     "delivery_user": _met("any_delivery"),
-    "organic_preference": _met("any_organic"),
-    "bulk_buyer": Flag(("avg_basket",), lambda spec, today: F.col("avg_basket") > spec.bulk_over),
-    "low_cost_buyer": Flag(("avg_basket",), lambda spec, today: F.col("avg_basket") < spec.low_cost_under),
-    "buys_bakery": _met("any_bakery"),
+    "organic_preference": _met("organic"),
+    "bulk_buyer": _limit("avg_basket", lambda spec: f"> {spec.bulk_over}"),
+    "low_cost_buyer": _limit("avg_basket", lambda spec: f"< {spec.low_cost_under}"),
+    "buys_bakery": _met("bakery"),
     "loyal_customer": Flag(
-        ("n_purchases",),
-        lambda spec, today: F.col("is_loyalty_member") & (F.col("n_purchases") >= spec.loyal_purchases),
-    ),
-    "multicity_buyer": Flag(_CITY, lambda spec, today: F.col("min_city") != F.col("max_city")),
-    "bought_meat_last_week": _met("any_meat_week"),
-    "night_shopper": _met("any_night"),
-    "morning_shopper": _met("any_morning"),
-    "prefers_cash": Flag(
-        ("n_cash", "n_rows"), lambda spec, today: _share("n_cash", "n_rows") >= spec.payment_share
-    ),
-    "prefers_card": Flag(
-        ("n_card", "n_rows"), lambda spec, today: _share("n_card", "n_rows") >= spec.payment_share
-    ),
-    "weekend_shopper": Flag(
-        ("n_weekend", "n_rows"), lambda spec, today: _share("n_weekend", "n_rows") >= spec.weekend_share
-    ),
-    "weekday_shopper": Flag(
-        ("n_weekend", "n_rows"), lambda spec, today: _share("n_weekend", "n_rows") <= spec.weekday_share
-    ),
-    "single_item_buyer": Flag(
-        ("n_single", "n_baskets"), lambda spec, today: _share("n_single", "n_baskets") >= spec.single_item_share
-    ),
-    "varied_shopper": Flag(
-        ("n_categories",), lambda spec, today: F.col("n_categories") >= spec.varied_categories
-    ),
-    "store_loyal": Flag(("min_store", "max_store"), lambda spec, today: F.col("min_store") == F.col("max_store")),
-    "switching_store": Flag(
-        ("min_store", "max_store"), lambda spec, today: F.col("min_store") != F.col("max_store")
-    ),
-    "family_shopper": Flag(
-        ("n_items_total", "n_baskets"),
-        lambda spec, today: _share("n_items_total", "n_baskets") >= spec.family_items,
+        ("n_purchases",), lambda spec, today: f"is_loyalty_member AND n_purchases >= {spec.loyal_purchases}"
     ),
+    "multicity_buyer": Flag(("min_city", "max_city"), lambda spec, today: "min_city <> max_city"),
+    "bought_meat_last_week": _met("meat_week"),
+    "night_shopper": _limit("last_hour", lambda spec: f">= {spec.night_from_hour}"),
+    "morning_shopper": _limit("first_hour", lambda spec: f"< {spec.morning_before_hour}"),
+    "prefers_cash": _share("n_cash", "n_rows", lambda spec: f">= {spec.payment_share}D"),
+    "prefers_card": _share("n_card", "n_rows", lambda spec: f">= {spec.payment_share}D"),
+    "weekend_shopper": _share("n_weekend", "n_rows", lambda spec: f">= {spec.weekend_share}D"),
+    "weekday_shopper": _share("n_weekend", "n_rows", lambda spec: f"<= {spec.weekday_share}D"),
+    "single_item_buyer": _share("n_single", "n_baskets", lambda spec: f">= {spec.single_item_share}D"),
+    "varied_shopper": _limit("n_categories", lambda spec: f">= {spec.varied_categories}"),
+    "store_loyal": Flag(("min_store", "max_store"), lambda spec, today: "min_store = max_store"),
+    "switching_store": Flag(("min_store", "max_store"), lambda spec, today: "min_store <> max_store"),
+    "family_shopper": _share("n_items_total", "n_baskets", lambda spec: f">= {spec.family_items}"),
     "early_bird": _met("any_early"),
-    "no_purchases": Flag(("n_rows",), lambda spec, today: F.col("n_rows").isNull()),
-    "recent_high_spender": Flag(("spent_week",), lambda spec, today: F.col("spent_week") > spec.high_spend_over),
-    "fruit_lover": Flag(
-        ("n_fruit_month",), lambda spec, today: F.col("n_fruit_month") >= spec.fruit_lover_purchases
-    ),
-    "vegetarian_profile": _not_met("any_meat_quarter"),
+    "no_purchases": _limit("n_rows", lambda spec: "IS NULL"),
+    "recent_high_spender": _limit("spent_week", lambda spec: f"> {spec.high_spend_over}"),
+    "fruit_lover": _limit("n_fruit_month", lambda spec: f">= {spec.fruit_lover_purchases}"),
+    "vegetarian_profile": _not_met("meat_quarter"),
 }
 FLAG_NAMES = tuple(FLAGS)
 
 
+def category_catalogue(categories: DataFrame, at_most: int = MAX_CATEGORIES) -> list[str] | None:
+    """The category names of the mart with the name for "none", or None if there are more than ``at_most``."""
+    names = categories.select("category_name").filter("category_name IS NOT NULL").distinct()
+    found = {row[0] for row in names.limit(at_most + 1).collect()} | {NO_CATEGORY}
+    return sorted(found) if len(found) <= at_most else None
+
+
 def basket_facts(
     items: DataFrame,
-    products: DataFrame,
+    products: DataFrame | None,
     spec: FeatureSpec,
-    marks: Sequence[str],
+    catalogue: Sequence[str] | None = None,
     *,
-    with_categories: bool,
+    with_names: bool = False,
     small: bool | None = None,
 ) -> DataFrame:
-    """Per purchase: number of items, marks of its products, and its category names if asked for.
+    """Per purchase: number of items, the marks of its products, and its category names if asked for.
 
     The product join is a left join: an item with an unknown product still counts as an item.
     """
-    columns = [F.count("item_pk").alias("n_items")]
-    if marks or with_categories:
-        wanted = [PRODUCT_MARKS[mark](spec).alias(mark) for mark in marks]
-        if with_categories:
-            wanted.append(F.col("category_name"))
-        marked = products.select(F.col("product_pk").alias("known_product_pk"), *wanted)
+    facts = [F.count("item_pk").alias("n_items")]
+    if products is not None:
+        names = ["category_name"] if with_names else []
+        marked = products.select(
+            F.col("product_pk").alias("known_product_pk"), F.expr(product_marks(spec, catalogue)).alias("marks"), *names
+        )
         items = lookup_join(items, marked, "product_pk", "known_product_pk", small=small, spread_by="item_pk")
-        columns += [F.coalesce(F.bool_or(mark), F.lit(False)).alias(mark) for mark in marks]
-    if with_categories:
-        # holds each category of the catalogue at most once
-        columns.append(F.collect_set("category_name").alias("categories"))
-    return items.groupBy(F.col("purchase_pk").alias("basket_pk")).agg(*columns)
+        facts.append(F.bit_or("marks").alias("marks"))
+        if with_names:
+            # holds each name of the catalogue at most once
+            facts.append(F.collect_set("category_name").alias("categories"))
+    return items.groupBy(F.col("purchase_pk").alias("basket_pk")).agg(*facts)
 
 
 def customer_measures(
-    inputs: MartInputs, spec: FeatureSpec, today: Column, measures: Sequence[str]
+    inputs: MartInputs, spec: FeatureSpec, today: str, measures: Sequence[str], max_categories: int = MAX_CATEGORIES
 ) -> DataFrame:
     """The requested measures per customer_pk."""
     needed = set(measures)
-    marks = [mark for mark in PRODUCT_MARKS if any(_MARKS_OF.get(name) == mark for name in needed)]
-    with_categories = "n_categories" in needed
-    by_product = bool(marks) or with_categories
-    small = SmallSides.measure(inputs, items=by_product, marks=len(marks), cities=bool(needed & set(_CITY)))
+    by_product = bool(needed & _MARK_MEASURES) or "n_categories" in needed
+    catalogue = category_catalogue(inputs.categories, max_categories) if "n_categories" in needed else None
+    with_names = "n_categories" in needed and catalogue is None
+    small = SmallSides.measure(inputs, items=by_product, cities=bool(needed & _CITIES), names=with_names)
     rows = latest_purchases(inputs.purchases)
-    first = F.lit(True)
+    first = "true"
 
     # By purchase first: the last versions are already spread by purchase, so this join moves only the baskets.
-    if by_product or needed & set(_ITEM_COUNTS):
-        products = prepare_products(inputs.products, inputs.categories, small.categories)
+    if by_product or needed & _ITEM_COUNTS:
+        products = prepare_products(inputs.products, inputs.categories, small.categories) if by_product else None
         baskets = basket_facts(
-            prepare_items(inputs.items),
-            products,
-            spec,
-            marks,
-            with_categories=with_categories,
-            small=small.products,
+            prepare_items(inputs.items), products, spec, catalogue, with_names=with_names, small=small.products
         )
         rows = rows.join(baskets, F.col("purchase_pk") == F.col("basket_pk"), "left")
-    if needed & set(_PAYMENT):
+    if needed & _PAYMENTS:
         rows = with_payment_method(rows, inputs.payment_methods)
-    if needed & set(_CITY):
+    if needed & _CITIES:
         rows = _with_cities(rows, inputs, small)
-    if with_categories:
+    if with_names:
         # One row per category of the purchase; the distinct count needs no set per customer.
         rows = rows.select("*", F.posexplode_outer("categories").alias("_position", "category_name"))
-        first = F.coalesce(F.col("_position") == 0, F.lit(True))
-    scope = _Scope(spec, today, first)
-    return rows.groupBy("customer_pk").agg(*[MEASURES[name](scope).alias(name) for name in measures])
+        first = "coalesce(_position = 0, true)"
+    scope = _Scope(spec, today, first, not with_names)
+    return rows.groupBy("customer_pk").agg(*[F.expr(MEASURES[name](scope)).alias(name) for name in measures])
 
 
 def _with_cities(purchases: DataFrame, inputs: MartInputs, small: SmallSides) -> DataFrame:
@@ -325,19 +328,18 @@ def feature_matrix(
     as_of: date | None = None,
     spec: FeatureSpec | None = None,
     flags: Sequence[str] = FLAG_NAMES,
+    max_categories: int = MAX_CATEGORIES,
 ) -> DataFrame:
     """customer_id and the flags as 0/1 integers, one row per customer, customers without purchases included."""
     spec = spec or FeatureSpec()
-    today = F.current_date() if as_of is None else F.lit(as_of)
+    today = "current_date()" if as_of is None else f"date'{as_of:%Y-%m-%d}'"
     measures = [name for name in MEASURES if any(name in FLAGS[flag].needs for flag in flags)]
     customers = prepare_customers(inputs.customers)
     if measures:
-        found = customer_measures(inputs, spec, today, measures)
+        found = customer_measures(inputs, spec, today, measures, max_categories)
         found = found.withColumnRenamed("customer_pk", "buyer_pk")
         customers = customers.join(found, F.col("customer_pk") == F.col("buyer_pk"), "left")
-    values = [
-        F.when(FLAGS[flag].rule(spec, today), F.lit(1)).otherwise(F.lit(0)).alias(flag) for flag in flags
-    ]
+    values = [F.expr(f"if({FLAGS[flag].rule(spec, today)}, 1, 0)").alias(flag) for flag in flags]
     return customers.select("customer_id", *values)
 
 

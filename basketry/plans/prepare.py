@@ -59,12 +59,13 @@ class SmallSides:
 
     @classmethod
     def measure(
-        cls, inputs: MartInputs, *, items: bool, marks: int, cities: bool, max_bytes: int = BROADCAST_BYTES
+        cls, inputs: MartInputs, *, items: bool, cities: bool, names: bool = False, max_bytes: int = BROADCAST_BYTES
     ) -> SmallSides:
-        """Measure what a run will look up: products with so many marks if it reads items, and the cities."""
+        """Measure what a run looks up: products if it reads items, with their category names if it needs those,
+        and the cities."""
         frames = {}
         if items:
-            frames["products"] = inputs.products.select("product_pk")
+            frames["products"] = inputs.products.select("product_pk", F.lit(0).alias("marks"))
             frames["categories"] = inputs.categories.select("category_id", "category_name")
         if cities:
             frames["stores"] = inputs.stores.select("store_pk", "location_id")
@@ -72,11 +73,9 @@ class SmallSides:
             frames["delivery_addresses"] = inputs.delivery_addresses.select("delivery_address_id", "delivery_city_id")
         sizes = measure(frames)
         small = {name: size.bytes <= max_bytes for name, size in sizes.items()}
-        if items:
-            # a product row is looked up with its marks and its category name
+        if names:
             widest = max(sizes["categories"].widest, len(NO_CATEGORY.encode()))
-            products = sizes["products"]
-            small["products"] = products.bytes + products.rows * (8 * marks + widest) <= max_bytes
+            small["products"] = sizes["products"].bytes + sizes["products"].rows * widest <= max_bytes
         return cls(**small)
 
 

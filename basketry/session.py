@@ -16,7 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # basket facts keep a category set per purchase; the default of 128 keys would sort almost at once
+    # call sites in error messages cost a round trip per column expression
+    "spark.sql.dataFrameQueryContext.enabled": "false",
+    # basket facts of a large catalogue keep a category set per purchase; the default of 128 keys would sort almost at once
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 

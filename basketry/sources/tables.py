@@ -88,12 +88,12 @@ def project_mart(df: DataFrame, table: str) -> DataFrame:
 
 def normalize_unsigned(df: DataFrame) -> DataFrame:
     """Unsigned 64-bit columns, which come as decimal(20,0), to bigint in two's complement: no key is lost."""
-    top = 2**64
+    top = F.lit(str(2**64)).cast("decimal(20,0)")
     columns = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType) and (field.dataType.precision, field.dataType.scale) == (20, 0):
-            signed = F.when(column > 2**63 - 1, column - F.lit(top).cast("decimal(20,0)")).otherwise(column)
+            signed = F.when(column > 2**63 - 1, column - top).otherwise(column)
             column = signed.cast("bigint").alias(field.name)
         columns.append(column)
     return df.select(*columns)
