@@ -18,9 +18,14 @@ DEFAULT_DATE = date(1970, 1, 1)
 
 _DECIMAL_TEXT = r"(?i)^\s*[+-]?(\d[\d_]*\.?[\d_]*|\.\d[\d_]*)(e[+-]?\d+)?\s*$|^\s*[+-]?(nan|inf|infinity)\s*$"
 _INTEGER_TEXT = r"^\s*[+-]?\d+(_\d+)*\s*$"
+# Times that a cast reads as they are: ISO, and the loose forms with single digits.
+_TIME_TEXT = (
+    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:\d{2})?)?$"
+    r"|^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?$"
+)
+# The rarer ISO forms: no dashes in the day, no minutes, no colon in the offset.
+_RARE_TIME_TEXT = r"^\d{4}-?\d{2}-?\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 _BASIC_DAY = r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])"
-_ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?([+-]\d{2}(:?\d{2})?)?)?$"
-_LOOSE_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?$"
 
 
 def _text(column: Column) -> Column:
@@ -30,15 +35,15 @@ def _text(column: Column) -> Column:
 def safe_float(column: Column, default: float = 0.0) -> Column:
     """The number, or the default when it is missing or no number."""
     text = _text(column)
-    number = F.when(text.rlike(_DECIMAL_TEXT), F.regexp_replace(text, "_", "")).try_cast("double")
+    number = F.when(text.rlike(_DECIMAL_TEXT), F.translate(text, "_", "")).try_cast("double")
     return F.coalesce(number, F.lit(float(default)))
 
 
 def safe_int(column: Column, default: int = 0) -> Column:
     """The whole number; text with a point is cut towards zero ("12.7" -> 12); anything else is the default."""
     text = _text(column)
-    fraction = F.when(text.rlike(_DECIMAL_TEXT), F.regexp_replace(text, "_", "")).try_cast("double")
-    whole = F.when(text.rlike(_INTEGER_TEXT), F.regexp_replace(text, "_", "")).try_cast("int")
+    fraction = F.when(text.rlike(_DECIMAL_TEXT), F.translate(text, "_", "")).try_cast("double")
+    whole = F.when(text.rlike(_INTEGER_TEXT), F.translate(text, "_", "")).try_cast("int")
     return F.coalesce(
         F.when(text.contains("."), F.when(~F.isnan(fraction), fraction).try_cast("int")).otherwise(whole),
         F.lit(int(default)),
@@ -53,8 +58,8 @@ def safe_bool(column: Column, default: bool = False, *, numeric_text: bool = Fal
     text = F.lower(_text(column))
     result = F.when(text.isin(*TRUE_WORDS), F.lit(True))
     if numeric_text:
+        result = result.when(text.isin("false", "no"), F.lit(False))
         result = result.when(text.rlike(_DECIMAL_TEXT), safe_float(column) != 0.0)
-        result = result.when(text == "false", F.lit(False))
     return F.coalesce(result, F.lit(bool(default)))
 
 
@@ -71,29 +76,23 @@ def safe_json(column: Column, schema: T.DataType | str) -> Column:
 def parse_ts_utc(column: Column, default: Column | datetime | None = None) -> Column:
     """Text to a UTC instant: ISO with or without offset or ``Z`` (either case), date and time, date only.
 
-    A missing or unreadable value becomes the default, which is the current time unless one is given.
+    Text without an offset is read in the session's time zone, which is UTC in this library. A missing or
+    unreadable value becomes the default, which is the current time unless one is given.
     """
-    text = F.regexp_replace(F.translate(_text(column), "tz", "TZ"), "Z$", "+00:00")
-    text = F.regexp_replace(text, _BASIC_DAY, "$1-$2-$3")
-    readable = text.rlike(_ISO_TEXT) | text.rlike(_LOOSE_TEXT)
-    # written out in full: a time down to the minute, and an offset of hours and minutes
-    clock = F.regexp_replace(text, r"([T ]\d{2})(?=[+-]|$)", "$1:00")
-    clock = F.translate(clock, ",", ".")
-    full = (
-        F.when(~text.rlike("[T ]"), F.concat(text, F.lit(" 00:00:00+00:00")))
-        .when(text.rlike(r"[T ].*[+-]\d{2}$"), F.concat(clock, F.lit(":00")))
-        .when(text.rlike(r"[T ].*[+-]\d{4}$"), F.regexp_replace(clock, r"(\d{2})$", ":$1"))
-        .when(text.rlike(r"[T ].*[+-]\d{2}:\d{2}$"), clock)
-        .otherwise(F.concat(clock, F.lit("+00:00")))
-    )
-    parsed = F.when(readable, full).try_cast("timestamp")
+    text = F.translate(_text(column), "tz,", "TZ.")
+    parsed = F.when(text.rlike(_TIME_TEXT), text).try_cast("timestamp")
+    full = F.regexp_replace(text, _BASIC_DAY, "$1-$2-$3")
+    full = F.regexp_replace(full, r"([T ]\d{2})(?=[Z+-]|$)", "$1:00")
+    full = F.regexp_replace(full, r"([T ].*[+-]\d{2})(?=$)", "$1:00")
+    full = F.regexp_replace(full, r"([T ].*[+-]\d{2})(\d{2})$", "$1:$2")
+    rare = F.when(text.rlike(_RARE_TIME_TEXT), full).try_cast("timestamp")
     if default is None:
         fallback = F.current_timestamp()
     elif isinstance(default, Column):
         fallback = default
     else:
         fallback = F.lit(default)
-    return F.coalesce(parsed, fallback.cast("timestamp"))
+    return F.coalesce(parsed, rare, fallback.cast("timestamp"))
 
 
 def parse_date(column: Column, default: date = DEFAULT_DATE) -> Column:

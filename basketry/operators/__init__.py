@@ -1,4 +1,5 @@
 from basketry.operators.lookup import fits, lookup_join, measure
+from basketry.operators.parallel import spread
 from basketry.operators.quality import (
     dataset_stats,
     duplicate_ratio,
@@ -19,5 +20,6 @@ __all__ = [
     "quality_gate",
     "require_rows",
     "sample_documents",
+    "spread",
     "version_stamp",
 ]

@@ -11,6 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.operators.parallel import spread
 from basketry.plans.features import FeatureSpec
 from basketry.plans.prepare import MartInputs
 
@@ -215,9 +216,8 @@ def store_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def purchase_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One purchase per line of an order, with two items; a line that occurs again is a newer version."""
-    lines = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    lineitem = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    lines = lineitem.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     kbju = (
         "named_struct('calories', '10', 'protein', '1', 'fat', '2', 'carbohydrates', '3')"
     )
