@@ -20,10 +20,10 @@ _DECIMAL_TEXT = r"(?i)^\s*[+-]?(\d[\d_]*\.?[\d_]*|\.\d[\d_]*)(e[+-]?\d+)?\s*$|^\
 _INTEGER_TEXT = r"^\s*[+-]?\d+(_\d+)*\s*$"
 # Times that a cast reads as they are: ISO, and the loose forms with single digits.
 _TIME_TEXT = (
-    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:\d{2})?)?$"
+    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})?)?$"
     r"|^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?$"
 )
-# The rarer ISO forms: no dashes in the day, no minutes, no colon in the offset.
+# The rarer ISO forms: no dashes in the day, no minutes or seconds, no colon in the offset.
 _RARE_TIME_TEXT = r"^\d{4}-?\d{2}-?\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 _BASIC_DAY = r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])"
 
@@ -83,6 +83,7 @@ def parse_ts_utc(column: Column, default: Column | datetime | None = None) -> Co
     parsed = F.when(text.rlike(_TIME_TEXT), text).try_cast("timestamp")
     full = F.regexp_replace(text, _BASIC_DAY, "$1-$2-$3")
     full = F.regexp_replace(full, r"([T ]\d{2})(?=[Z+-]|$)", "$1:00")
+    full = F.regexp_replace(full, r"([T ]\d{2}:\d{2})(?=[Z+-]|$)", "$1:00")
     full = F.regexp_replace(full, r"([T ].*[+-]\d{2})(?=$)", "$1:00")
     full = F.regexp_replace(full, r"([T ].*[+-]\d{2})(\d{2})$", "$1:$2")
     rare = F.when(text.rlike(_RARE_TIME_TEXT), full).try_cast("timestamp")
