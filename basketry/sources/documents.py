@@ -27,32 +27,26 @@ def read_documents(
     """Read every ``.json`` file of a folder with a fixed schema.
 
     ``one_per_file`` reads one document per file, as the source keeps them; without it every line is a document,
-    which splits large files over tasks. Unreadable documents go to ``rejected`` with their text and file name.
-    A missing or empty folder gives no rows.
+    which splits large files over tasks. Documents that cannot be read as JSON or are not UTF-8 go to ``rejected``
+    with their text and file name. A missing or empty folder gives no rows.
     """
     schema = DOCUMENTS[collection] if isinstance(collection, str) else collection
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = (
-        spark.read.schema(wide)
-        .option("multiLine", one_per_file)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.json")
-    )
     try:
-        loaded = reader.json(path)
+        texts = spark.read.option("wholetext", one_per_file).option("pathGlobFilter", "*.json").text(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return _nothing(spark, schema)
-    source = F.col("_metadata.file_name").alias("_source_file")
-    rows = loaded.select("*", source)
-    columns = [f"`{name}`" for name in schema.fieldNames()]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = texts.select(
+        F.from_json("value", wide, options).alias("doc"), "value", F.col("_metadata.file_name").alias("_source_file")
+    )
+    readable = F.col(f"doc.{CORRUPT}").isNull() & F.is_valid_utf8("value") & F.col("doc").isNotNull()
     loaded_at = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("_loaded_at")
-    # The filter reads a data column too: Spark refuses queries on the corrupt column alone.
-    good = rows.filter(F.col(CORRUPT).isNull()).select(*columns, loaded_at, "_source_file")
-    bad = rows.filter(F.col(CORRUPT).isNotNull()).select(*columns, CORRUPT, "_source_file")
-    return Documents(good, bad.select("_source_file", F.col(CORRUPT).alias("document")))
+    good = parsed.filter(readable).select("doc.*", loaded_at, "_source_file").drop(CORRUPT)
+    bad = parsed.filter(~readable).select("_source_file", F.make_valid_utf8("value").alias("document"))
+    return Documents(good, bad)
 
 
 def _nothing(spark: SparkSession, schema: T.StructType) -> Documents:
