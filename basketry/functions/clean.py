@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.schemas import CORRUPT
+
 # They must be these for the results to be right.
 TRUE_WORDS = ("true", "1", "yes", "да")
 PAYMENT_CODES = {"card": 1, "cash": 2, "online": 3}
@@ -73,6 +75,15 @@ def safe_json(column: Column, schema: T.DataType | str) -> Column:
     return F.coalesce(F.from_json(column, schema), F.from_json(F.lit("{}"), schema))
 
 
+def parse_json(df: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
+    """Add the fields of the JSON in a column; a field of the schema named CORRUPT takes text that is no such JSON.
+
+    The value goes through ``inline``, so that a filter on the fields does not parse it a second time.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return df.select("*", F.inline(F.array(F.from_json(column, schema, options))))
+
+
 def parse_ts_utc(column: Column, default: Column | datetime | None = None) -> Column:
     """Text to a UTC instant: ISO with or without offset or ``Z`` (either case), date and time, date only.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.functions.clean import parse_date, parse_ts_utc, safe_bool, safe_float, safe_int
+from basketry.functions.clean import parse_date, parse_json, parse_ts_utc, safe_bool, safe_float, safe_int
 from basketry.operators.versioned import version_stamp
 from basketry.schemas import CORRUPT, message_schema
 
@@ -170,17 +170,13 @@ FLATTEN = {
 
 def parse_messages(messages: DataFrame, topic: str) -> DataFrame:
     """Documents of one topic's messages, with the text of an unreadable message kept in the corrupt column."""
-    schema = message_schema(topic).add(CORRUPT, T.StringType())
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return messages.select(F.from_json("value", schema, options).alias("doc"), "value").select("doc.*", "value")
+    return parse_json(messages.select("value"), message_schema(topic).add(CORRUPT, T.StringType()))
 
 
-def split_messages(messages: DataFrame, topic: str, load_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Raw rows of one topic, and its poison messages (topic, value, reason), which never stop a batch."""
-    parsed = parse_messages(messages, topic)
+def split_messages(parsed: DataFrame, topic: str, load_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Of one topic's parsed messages, the raw rows and the poison messages (topic, value, reason), which never stop
+    a batch."""
     broken = F.col(CORRUPT).isNotNull() | F.col("value").isNull()
     good = FLATTEN[topic](parsed.filter(~broken).drop(CORRUPT, "value"), load_ts)
-    bad = parsed.filter(broken).select(
-        F.lit(topic).alias("topic"), "value", F.lit("unreadable JSON").alias("reason")
-    )
+    bad = parsed.filter(broken).select(F.lit(topic).alias("topic"), "value", F.lit("unreadable JSON").alias("reason"))
     return good, bad

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.functions.clean import parse_json
 from basketry.schemas import CORRUPT, DOCUMENTS
 
 
@@ -33,25 +34,24 @@ def read_documents(
     schema = DOCUMENTS[collection] if isinstance(collection, str) else collection
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     try:
-        texts = spark.read.option("wholetext", one_per_file).option("pathGlobFilter", "*.json").text(path)
+        texts = spark.read.text(path, wholetext=one_per_file, pathGlobFilter="*.json")
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return _nothing(spark, schema)
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = texts.select(
-        F.from_json("value", wide, options).alias("doc"), "value", F.col("_metadata.file_name").alias("_source_file")
-    )
-    readable = F.col(f"doc.{CORRUPT}").isNull() & F.is_valid_utf8("value") & F.col("doc").isNotNull()
+    named = texts.select("value", F.col("_metadata.file_name").alias("_source_file"))
+    parsed = parse_json(named, wide)
+    readable = F.col(CORRUPT).isNull() & F.is_valid_utf8("value")
+    columns = [f"`{name}`" for name in schema.fieldNames()]
     loaded_at = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("_loaded_at")
-    good = parsed.filter(readable).select("doc.*", loaded_at, "_source_file").drop(CORRUPT)
+    good = parsed.filter(readable).select(*columns, loaded_at, "_source_file")
     bad = parsed.filter(~readable).select("_source_file", F.make_valid_utf8("value").alias("document"))
     return Documents(good, bad)
 
 
 def _nothing(spark: SparkSession, schema: T.StructType) -> Documents:
     text = T.StringType()
-    good = T.StructType(schema.fields).add("_loaded_at", text).add("_source_file", text)
+    good = T.StructType([*schema.fields]).add("_loaded_at", text).add("_source_file", text)
     bad = T.StructType().add("_source_file", text).add("document", text)
     return Documents(spark.createDataFrame([], good), spark.createDataFrame([], bad))
 
