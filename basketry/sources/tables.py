@@ -152,13 +152,19 @@ def read_mart(reader: Reader, table: str) -> DataFrame:
     return normalize_unsigned(project_mart(reader(table), table))
 
 
-def write_by_month(df: DataFrame, path: str, mode: str = "append", ts: str = "load_date") -> None:
+def write_by_month(
+    df: DataFrame, path: str, mode: str = "append", ts: str = "load_date", *, rebalance: bool = False
+) -> None:
     """Write partitioned by load month, so that expired months can be dropped and pruned whole.
 
     Rows go to the files of their month straight from the task that made them, so a month with most of the rows
-    does not pass through one task.
+    does not pass through one task. ``rebalance`` shuffles first, for loads of many months that would leave many
+    small files; AQE splits large months and merges small ones.
     """
-    df.withColumn("load_month", F.date_format(ts, "yyyyMM")).write.mode(mode).partitionBy("load_month").parquet(path)
+    dated = df.withColumn("load_month", F.date_format(ts, "yyyyMM"))
+    if rebalance:
+        dated = dated.hint("rebalance", "load_month")
+    dated.write.mode(mode).partitionBy("load_month").parquet(path)
 
 
 def read_by_month(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:

@@ -340,6 +340,8 @@ def test_tables_by_month(spark, tmp_path):
     write_by_month(df, str(tmp_path / "t"))
     back = read_by_month(spark, str(tmp_path / "t"), since="202502")
     assert sorted(row.id for row in back.collect()) == [1, 2, 3]
+    write_by_month(df, str(tmp_path / "t"), mode="overwrite", rebalance=True)
+    assert read_by_month(spark, str(tmp_path / "t")).count() == 4
     assert "PartitionFilters: [isnotnull" in back._jdf.queryExecution().toString()
 
 
