@@ -48,7 +48,7 @@ CONTEXT = MartContext(as_of=datetime(2025, 8, 1, tzinfo=timezone.utc))
 SENT = "2025-07-31T12:00:00Z"
 
 STORE = {
-    "store_id": "Store-1", "store_name": "Пикча", "store_network": "Большая", "store_type_description": "big",
+    "store_id": "Store-1", "store_name": "Лавка", "store_network": "Сеть", "store_type_description": "big",
     "type": "Offline", "categories": ["🥛 Молочные продукты", "🍎 Фрукты и ягоды"],
     "manager": {"name": "Анна", "phone": "8 (900) 1", "email": " A@b.RU "},
     "location": {"country": "Россия", "city": "Омск", "street": "Мира", "house": "1", "postal_code": "644000",
@@ -67,7 +67,7 @@ CUSTOMER = {
     "customer_id": "CUS-1", "first_name": "Иван", "last_name": "Петров", "email": "I@p.ru", "phone": "+7 900",
     "birth_date": "1990-05-05", "gender": "Male", "registration_date": "2025-07-20T10:00:00.123456Z",
     "is_loyalty_member": True, "loyalty_card_number": "C1",
-    "purchase_location": {"store_id": "Store-1", "store_name": "Пикча", "store_network": "Большая",
+    "purchase_location": {"store_id": "Store-1", "store_name": "Лавка", "store_network": "Сеть",
                           "store_type_description": "big", "country": "Россия", "city": "Омск", "street": "Мира",
                           "house": "1", "postal_code": "644000"},
     "delivery_address": {"country": "Россия", "city": "Тара", "street": "Ленина", "house": "2", "apartment": "3",
@@ -79,7 +79,7 @@ PURCHASE = {
     "purchase_id": "ORD-1",
     "customer": {"customer_id": "CUS-1", "first_name": "Иван", "last_name": "Петров", "email": "I@p.ru",
                  "phone": "+7 900", "is_loyalty_member": True, "loyalty_card_number": "C1"},
-    "store": {"store_id": "Store-1", "store_name": "Пикча", "store_network": "Большая",
+    "store": {"store_id": "Store-1", "store_name": "Лавка", "store_network": "Сеть",
               "store_type_description": "big",
               "location": {"city": "Омск", "street": "Мира", "house": "1", "postal_code": "644000"}},
     "items": [
