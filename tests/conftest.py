@@ -28,7 +28,7 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def rows(df, *order):
+def rows(df):
     """Rows as plain tuples, sorted."""
     return sorted((tuple(row) for row in df.collect()), key=str)
 
