@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from basketry.llm import decontaminate, token_files
+from basketry.llm import decontaminate, languages, main_text, sentencepieces, token_files, top_k, toxicity, url_trust
 
 QUERIES = {
+    "op1_url_trust": url_trust.op1,
+    "op2_toxicity": toxicity.op2,
+    "op4_languages": languages.op4,
+    "op5_sentencepieces": sentencepieces.op5,
+    "op7_main_text": main_text.op7,
+    "op8_top_k": top_k.op8,
     "op9_token_files": token_files.op9,
     "op10_decontamination": decontaminate.op10,
 }
 
 ORACLE = {
+    "op8_top_k": top_k.OP8_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
 }
