@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from basketry.llm import decontaminate, languages, main_text, sentencepieces, token_files, top_k, toxicity, url_trust
+from basketry.llm import decontaminate, languages, main_text, ngram_join, sentencepieces, token_files, top_k, toxicity, url_trust
 
 QUERIES = {
     "op1_url_trust": url_trust.op1,
     "op2_toxicity": toxicity.op2,
+    "op3_ngram_join": ngram_join.op3,
     "op4_languages": languages.op4,
     "op5_sentencepieces": sentencepieces.op5,
     "op7_main_text": main_text.op7,
