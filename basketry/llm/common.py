@@ -77,18 +77,22 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.
 
 
 class Index(dict):
-    """Numbers tokens in the order they are first seen."""
+    """Numbers tokens in the order they are first seen; ``fresh`` are those not yet taken."""
 
-    def __missing__(self, token: bytes) -> int:
+    def __init__(self):
+        self.fresh: list = []
+
+    def __missing__(self, token) -> int:
         self[token] = number = len(self)
+        self.fresh.append(token)
         return number
 
 
 class TokenTable:
     """Numbers of tokens with one row of numbers each, computed once per distinct token and worker.
 
-    ``rows_of(tokens)`` gives a float array with a row per token. Beyond ``limit`` distinct tokens the table starts
-    anew, which bounds its memory and changes no result.
+    ``rows_of(tokens)`` gives an array with a row per token. Beyond ``limit`` distinct tokens the table starts anew,
+    which bounds its memory and changes no result.
     """
 
     def __init__(self, rows_of: Callable[[list], np.ndarray], limit: int = 500_000):
@@ -96,23 +100,23 @@ class TokenTable:
         self.clear()
 
     def clear(self) -> None:
-        self.index, self.rows, self.known = Index(), None, 0
+        self.index, self.rows = Index(), None
 
     def numbers(self, tokens: list) -> np.ndarray:
         if len(self.index) > self.limit:
             self.clear()
         found = np.fromiter(map(self.index.__getitem__, tokens), np.int64, len(tokens))
-        size = len(self.index)
-        if size > self.known:
-            fresh = list(self.index)[self.known :] if self.known else list(self.index)
+        fresh = self.index.fresh
+        if fresh:
+            size = len(self.index)
             new = self.rows_of(fresh)
             if self.rows is None or size > len(self.rows):
                 grown = np.zeros((max(1024, 2 * size), new.shape[1]), new.dtype)
-                if self.known:
-                    grown[: self.known] = self.rows[: self.known]
+                if self.rows is not None:
+                    grown[: size - len(fresh)] = self.rows[: size - len(fresh)]
                 self.rows = grown
-            self.rows[self.known : size] = new
-            self.known = size
+            self.rows[size - len(fresh) : size] = new
+            self.index.fresh = []
         return found
 
 
