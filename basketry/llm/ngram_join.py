@@ -76,7 +76,7 @@ class Shingler:
 
     def __init__(self, words: int):
         self.words = words
-        self.table = TokenTable(self._hashes, limit=1_000_000)
+        self.table = TokenTable(self._hashes, limit=250_000)
 
     @staticmethod
     def _hashes(tokens: list[bytes]) -> np.ndarray:

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from basketry.llm import decontaminate, languages, main_text, ngram_join, sentencepieces, token_files, top_k, toxicity, url_trust
+from basketry.llm import (
+    decontaminate,
+    languages,
+    licenses,
+    main_text,
+    ngram_join,
+    sentencepieces,
+    token_files,
+    top_k,
+    toxicity,
+    url_trust,
+)
 
 QUERIES = {
     "op1_url_trust": url_trust.op1,
@@ -10,6 +21,7 @@ QUERIES = {
     "op3_ngram_join": ngram_join.op3,
     "op4_languages": languages.op4,
     "op5_sentencepieces": sentencepieces.op5,
+    "op6_licenses": licenses.op6,
     "op7_main_text": main_text.op7,
     "op8_top_k": top_k.op8,
     "op9_token_files": token_files.op9,
