@@ -63,13 +63,13 @@ def ship(spark: SparkSession) -> None:
     context._basketry_shipped = True
 
 
-def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema) -> DataFrame:
-    """Apply a function to each Arrow batch of each partition."""
+def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema, rows: int | None = None) -> DataFrame:
+    """Apply a function to each Arrow batch of each partition, ``rows`` rows at a time if given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
+            for at in range(0, batch.num_rows, rows or max(1, batch.num_rows)):
+                out = fn(batch.slice(at, rows))
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
     ship(df.sparkSession)

@@ -43,6 +43,8 @@ TREE_SETS = 256
 BLOCK_SETS = 512
 #: bits of the filters that are broadcast, whatever the input's size
 FILTER_BITS = 1 << 26
+#: texts whose sets a worker holds at a time
+TEXTS = 256
 #: elements of a branch compared at a time
 STEP = 64
 
@@ -191,7 +193,7 @@ def sets_of(docs: DataFrame, measure: Measure) -> DataFrame:
             }
         )
 
-    return per_batch(docs, run, "id long, n int, print binary, head binary")
+    return per_batch(docs, run, "id long, n int, print binary, head binary", TEXTS)
 
 
 def exploded(sets: DataFrame) -> DataFrame:
@@ -254,7 +256,7 @@ def verified(docs: DataFrame, pairs: DataFrame, measure: Measure) -> DataFrame:
         return pa.RecordBatch.from_pydict({"id": batch.column("id"), "whole": _binary(sets)})
 
     needed = may_hold(docs, "id", bit_filter(places, "id"))
-    sets = per_batch(needed, whole, "id long, whole binary")
+    sets = per_batch(needed, whole, "id long, whole binary", TEXTS)
 
     def link(group: pa.Table) -> pa.Table:
         ids, is_probe = group["id"].to_pylist(), group["probe"].to_pylist()
