@@ -9,8 +9,8 @@ These first n-grams, the head of a set, are all that is compared before candidat
    n-grams. That links nearly all copies to their group in one verified comparison each.
 3. Pairs in different groups are searched for without loss. N-grams in at most ``FREQUENT`` heads are joined with
    themselves, and a pair has to share as many as the bound asks for. Sets with so many frequent n-grams that a pair
-   could share these alone are compared in blocks by a prefix tree of their heads; only sets with enough frequent
-   n-grams that stand in more than one group take part.
+   could share these alone are compared in blocks by prefix trees; only sets with enough frequent n-grams that stand in
+   more than one group take part, and sets that a task has joined are not compared again.
 4. Candidates are verified with whole sets: the candidates of a set, in blocks of bounded number, form a prefix tree
    that the set is run through. Partial overlaps are shared along common branches, and a branch is left as soon as the
    elements that remain on it and in the probe can't reach the overlap asked for.
@@ -46,7 +46,7 @@ FILTER_BITS = 1 << 26
 #: texts whose sets a worker holds at a time
 TEXTS = 256
 #: elements of a branch compared at a time
-STEP = 64
+STEP = 32
 
 
 @dataclass(frozen=True)
@@ -111,62 +111,65 @@ def shingler(words: int) -> Shingler:
 
 
 class PrefixTree:
-    """Sets in lexicographic order; what a set shares with the one before it is their common branch."""
+    """Ordered sets as a tree of pieces of ``STEP`` elements; sets that begin alike share their branch.
+
+    A probe goes down level by level: the overlap of a branch is its parent's and that of its own piece, and branches
+    of which no set can reach the overlap asked for are left.
+    """
 
     def __init__(self, sets: list[np.ndarray]):
-        self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-        self.sets = [sets[i] for i in self.order]
-        self.common = [0] * len(sets)
-        for i in range(1, len(sets)):
-            a, b = self.sets[i - 1], self.sets[i]
-            size = min(len(a), len(b))
-            differ = np.flatnonzero(a[:size] != b[:size])
-            self.common[i] = int(differ[0]) if len(differ) else size
-
-    def search(self, probe: np.ndarray, fits, wanted: np.ndarray | None = None) -> list[int]:
-        """Numbers of the sets that ``fits`` doesn't rule out on their way to the end.
-
-        ``fits(i, depth, overlap, passed)``: may set ``i`` still be similar, if its first ``depth`` elements hold
-        ``overlap`` of the probe, of whose elements ``passed`` are not beyond them? ``wanted`` leaves out sets.
-        """
-        found = []
-        # branch of the set before: depths and overlaps at the ends of the steps taken
-        depths, overlaps = [0], [0]
-        skip = 0  # the set before was left here; sets that share more with it are looked at from their own bounds
-        for i, elements in enumerate(self.sets):
-            shared = min(self.common[i], skip) if i else 0
-            while depths[-1] > shared:
-                depths.pop()
-                overlaps.pop()
-            skip = depths[-1]
-            if wanted is not None and not wanted[self.order[i]]:
-                continue
-            alive = True
-            depth, overlap = depths[-1], overlaps[-1]
-            while depth < len(elements) and alive:
-                end = min(depth + STEP, len(elements))
-                part = elements[depth:end]
-                places = np.searchsorted(probe, part)
-                inside = places < len(probe)
-                overlap += int((probe[places[inside]] == part[inside]).sum())
-                depth = end
-                depths.append(depth)
-                overlaps.append(overlap)
-                passed = int(np.searchsorted(probe, part[-1], side="right"))
-                alive = fits(self.order[i], depth, overlap, passed)
-            skip = depths[-1]
-            if alive:
-                found.append(self.order[i])
-        return found
-
-
-def similar(tree: PrefixTree, sizes: list[int], probe: np.ndarray, measure: Measure) -> list[int]:
-    """The sets of the tree that are linked with the probe."""
-    n = len(probe)
-    needed = [measure.needed(n, size) for size in sizes]
-    return tree.search(
-        probe, lambda i, depth, overlap, passed: overlap + min(sizes[i] - depth, n - passed) >= needed[i]
-    )
+        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        self.levels = []
+        node_of = np.zeros(len(sets), np.int64)
+        left, start = np.flatnonzero(self.sizes), 0
+        while len(left):
+            numbers: dict[tuple[int, bytes], int] = {}
+            for i in left.tolist():
+                key = (int(node_of[i]), sets[i][start : start + STEP].tobytes())
+                node_of[i] = numbers.setdefault(key, len(numbers))
+            nodes = node_of[left]
+            elements = np.zeros((len(numbers), STEP), np.uint64)
+            length = np.zeros(len(numbers), np.int64)
+            for k, (_, piece) in enumerate(numbers):
+                length[k] = len(piece) // 8
+                elements[k, : length[k]] = np.frombuffer(piece, np.uint64)
+            least, most = np.full(len(numbers), np.iinfo(np.int64).max), np.zeros(len(numbers), np.int64)
+            np.minimum.at(least, nodes, self.sizes[left])
+            np.maximum.at(most, nodes, self.sizes[left])
+            parent = np.fromiter((key[0] for key in numbers), np.int64, len(numbers))
+            self.levels.append((start, left, nodes, parent, elements, length, least, most))
+            start += STEP
+            left = left[self.sizes[left] > start]
+
+    def search(self, probe: np.ndarray, measure: Measure, wanted: np.ndarray | None = None) -> np.ndarray:
+        """Numbers of the sets that are similar to the probe; of those ``wanted`` only, if given."""
+        n, found = len(probe), []
+        alive, overlap = np.ones(1, bool), np.zeros(1, np.int64)
+        for start, sets, nodes, parent, elements, length, least, most in self.levels:
+            here = alive[parent]
+            if wanted is not None:
+                holds = np.zeros(len(parent), bool)
+                holds[nodes[wanted[sets]]] = True
+                here &= holds
+            at = np.flatnonzero(here)
+            if not len(at):
+                break
+            piece, size = elements[at], length[at]
+            place = np.minimum(np.searchsorted(probe, piece), n - 1)
+            same = (probe[place] == piece) & (np.arange(STEP) < size[:, None])
+            sums = overlap[parent[at]] + same.sum(axis=1)
+            passed = np.searchsorted(probe, piece[np.arange(len(at)), size - 1], side="right")
+            reach = (sums + most[at] - start - size >= measure.needed(n, most[at])) & (
+                sums + n - passed >= measure.needed(n, least[at])
+            )
+            alive, overlap = np.zeros(len(parent), bool), np.zeros(len(parent), np.int64)
+            alive[at], overlap[at] = reach, sums
+            ends = (self.sizes[sets] <= start + STEP) & alive[nodes]
+            if wanted is not None:
+                ends &= wanted[sets]
+            ended = sets[ends]
+            found.append(ended[overlap[nodes[ends]] >= measure.needed(n, self.sizes[ended])])
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
 def _binary(arrays: list[np.ndarray]) -> pa.Array:
@@ -239,6 +242,17 @@ def may_hold(df: DataFrame, column: str, filter_bits: np.ndarray) -> DataFrame:
     return per_batch(placed, run, schema)
 
 
+def whole_sets(docs: DataFrame, ids: DataFrame, measure: Measure) -> DataFrame:
+    """id, whole of the documents of some ids, and perhaps of a few others. ``docs``: id, body."""
+
+    def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
+        make = shingler(measure.words).of
+        sets = [make(text) for text in texts_of(batch.column("body"))]
+        return pa.RecordBatch.from_pydict({"id": batch.column("id"), "whole": _binary(sets)})
+
+    return per_batch(may_hold(docs, "id", bit_filter(ids, "id")), whole, "id long, whole binary", TEXTS)
+
+
 def verified(docs: DataFrame, pairs: DataFrame, measure: Measure) -> DataFrame:
     """The pairs a, b that are linked, by their whole sets. ``docs``: id, body; ``pairs``: distinct a, b."""
     hubs = pairs.groupBy("a").agg(F.ceil(F.count("*") / TREE_SETS).cast("int").alias("blocks"))
@@ -250,24 +264,17 @@ def verified(docs: DataFrame, pairs: DataFrame, measure: Measure) -> DataFrame:
     )
     places = written(members.unionByName(probes), "places")
 
-    def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
-        make = shingler(measure.words).of
-        sets = [make(text) for text in texts_of(batch.column("body"))]
-        return pa.RecordBatch.from_pydict({"id": batch.column("id"), "whole": _binary(sets)})
-
-    needed = may_hold(docs, "id", bit_filter(places, "id"))
-    sets = per_batch(needed, whole, "id long, whole binary", TEXTS)
+    sets = whole_sets(docs, places, measure)
 
     def link(group: pa.Table) -> pa.Table:
         ids, is_probe = group["id"].to_pylist(), group["probe"].to_pylist()
         sets = [np.frombuffer(x, np.uint64) for x in group["whole"].to_pylist()]
         inner = [i for i, probe in enumerate(is_probe) if not probe]
         tree = PrefixTree([sets[i] for i in inner])
-        sizes = [len(sets[i]) for i in inner]
         out = set()
         for i, probe in enumerate(is_probe):
             if probe and len(sets[i]):
-                out.update((ids[i], ids[inner[k]]) for k in similar(tree, sizes, sets[i], measure) if sizes[k])
+                out.update((ids[i], ids[inner[k]]) for k in tree.search(sets[i], measure).tolist())
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
     return places.join(sets, "id").groupBy("a", "block").applyInArrow(link, "a long, b long")
@@ -281,10 +288,23 @@ def crossing(pairs: DataFrame, group_of: DataFrame) -> DataFrame:
     return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def frequent_pairs(sets: DataFrame, shared: DataFrame, hot: DataFrame, group_of: DataFrame, measure: Measure) -> DataFrame:
-    """Pairs of different groups that may share frequent n-grams alone, by prefix trees of heads.
+class Merger:
+    """Which components have met in a task."""
+
+    def __init__(self, components: np.ndarray):
+        _, first = np.unique(components, return_inverse=True)
+        self.root = first.astype(np.int64)
+
+    def join(self, i: int, others: np.ndarray) -> None:
+        merged = np.isin(self.root, np.concatenate((self.root[[i]], self.root[others])))
+        self.root[merged] = self.root[i]
 
-    ``sets``: id, n, head of the distinct sets; ``hot``: id, n, hot (frequent n-grams in the head).
+
+def frequent_links(docs: DataFrame, shared: DataFrame, hot: DataFrame, group_of: DataFrame, measure: Measure) -> DataFrame:
+    """Links a, b that join all groups with similar sets that may share frequent n-grams alone.
+
+    ``docs``: id, body; ``hot``: id, n, hot (frequent n-grams in the head). Blocks of sets are compared by prefix trees
+    of whole sets; a pair already joined, by a group or within the task, is not looked at again.
     """
     enough = F.expr(f"1 + int(ceil({measure.num} * n / {measure.den}) div 20)")  # slack of the smallest partner
     rich = hot.filter(F.col("hot") >= enough).select("id")
@@ -293,49 +313,47 @@ def frequent_pairs(sets: DataFrame, shared: DataFrame, hot: DataFrame, group_of:
     rows = written(rows.select("gram", "id", "n", "component"), "frequent")
     mixed = rows.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     left = rows.join(mixed.select("gram"), "gram").groupBy("id", "n", "component").agg(F.count("*").alias("mixed"))
-    left = left.filter(F.col("mixed") >= enough).select("id", "component")
-    left = written(left.join(sets, "id").select("id", "component", "n", "head"), "frequent-sets")
     # a similar set is in the same band of sizes or in a neighbouring one
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(measure.den / measure.num)) + 1e-9).cast("int")
-    banded = left.withColumn("band", band)
-    blocks = banded.groupBy("band").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
-    own = banded.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    own = own.select("band", "block", "id", "component", "n", "head")
-    # trees: each block; probes: every set of the band and of the one below, in every block
-    trees = own.withColumn("probe", F.lit(False))
-    targets = blocks.select("band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    below = own.drop("block").withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
-    probes = below.join(targets, "band").select(*own.columns).withColumn("probe", F.lit(True))
+    left = written(left.filter(F.col("mixed") >= enough).select("id", "component", band.alias("band")), "frequent-sets")
+    blocks = left.groupBy("band").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+    own = left.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    # each block as a tree against each block of probes of its band and of the band below
+    here = blocks.select(F.col("band").alias("tree_band"), F.col("blocks").alias("tree_blocks"))
+    asking = blocks.select(
+        F.col("band").alias("probe_band"), F.col("blocks").alias("probe_blocks"), F.explode(F.array("band", F.col("band") + 1)).alias("tree_band")
+    )
+    tiles = here.join(asking, "tree_band")
+    tiles = tiles.select("tree_band", "probe_band", F.explode(F.sequence(F.lit(0), F.col("tree_blocks") - 1)).alias("tree"), "probe_blocks")
+    tiles = tiles.select("tree_band", "probe_band", "tree", F.explode(F.sequence(F.lit(0), F.col("probe_blocks") - 1)).alias("ask"))
+    tiles = tiles.filter("tree_band <> probe_band or ask <= tree")
+    keys = ("tree_band", "probe_band", "tree", "ask")
+    trees = own.join(tiles, (F.col("band") == F.col("tree_band")) & (F.col("block") == F.col("tree")))
+    probes = own.join(tiles, (F.col("band") == F.col("probe_band")) & (F.col("block") == F.col("ask")))
+    places = trees.select(*keys, "id", "component", F.lit(False).alias("probe")).unionByName(
+        probes.select(*keys, "id", "component", F.lit(True).alias("probe"))
+    )
+    places = written(places, "tiles")
 
     def search(group: pa.Table) -> pa.Table:
-        ids, comps, sizes = (group[name].to_numpy() for name in ("id", "component", "n"))
-        heads = [np.frombuffer(x, np.uint64) for x in group["head"].to_pylist()]
+        ids = group["id"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in group["whole"].to_pylist()]
         is_probe = group["probe"].to_numpy(zero_copy_only=False)
         inner = np.flatnonzero(~is_probe)
+        tree, met = PrefixTree([sets[i] for i in inner]), Merger(group["component"].to_numpy())
         out_a, out_b = [], []
-        tree = PrefixTree([heads[i] for i in inner])
-        size, comp, name = sizes[inner].astype(np.int64), comps[inner], ids[inner]
-        for i in np.flatnonzero(is_probe):
-            n, probe = int(sizes[i]), heads[i]
-            needed = measure.needed(n, size)
-            wanted = (comp != comps[i]) & (np.minimum(size, n) >= needed) & (name != ids[i])
-            if not wanted.any():
-                continue
-
-            # beyond the end of either head nothing is known, so all that is left may agree
-            def fits(k, depth, overlap, passed, n=n, probe=probe, needed=needed):
-                if passed == len(probe):
-                    known = int(np.searchsorted(heads[inner[k]], probe[-1], side="right"))
-                    return overlap + min(int(size[k]) - min(depth, known), n - len(probe)) >= needed[k]
-                return overlap + min(int(size[k]) - depth, n - passed) >= needed[k]
-
-            for k in tree.search(probe, fits, wanted):
-                out_a.append(min(ids[i], name[k]))
-                out_b.append(max(ids[i], name[k]))
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
-
-    both = trees.unionByName(probes).groupBy("band", "block")
-    return both.applyInArrow(search, "a long, b long").distinct()
+        for i in np.flatnonzero(is_probe).tolist():
+            wanted = met.root[inner] != met.root[i]
+            if len(sets[i]) and wanted.any():
+                near = inner[tree.search(sets[i], measure, wanted)]
+                if len(near):
+                    out_a.append(np.full(len(near), ids[i]))
+                    out_b.append(ids[near])
+                    met.join(i, near)
+        empty = [np.zeros(0, np.int64)]
+        return pa.table({"a": pa.array(np.concatenate(out_a or empty)), "b": pa.array(np.concatenate(out_b or empty))})
+
+    return places.join(whole_sets(docs, left, measure), "id").groupBy(*keys).applyInArrow(search, "a long, b long")
 
 
 def groups(docs: DataFrame, measure: Measure = Measure(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -376,12 +394,11 @@ def groups(docs: DataFrame, measure: Measure = Measure(), doc_id: str = "doc_id"
     left, right = hot.select(F.col("id").alias("a"), F.col("hot").alias("ha")), hot.select(F.col("id").alias("b"), F.col("hot").alias("hb"))
     pairs = pairs.join(left, "a").join(right, "b").filter("c + least(ha, hb) >= 1 + n div 20")
     pairs = crossing(pairs.select("a", "b"), group_of)
-    frequent = frequent_pairs(sets, shared, hot, group_of, measure)
-    rest = written(pairs.unionByName(frequent).distinct(), "pairs")
-    second = written(verified(rows, rest, measure), "links")
+    second = written(verified(rows, written(pairs, "pairs"), measure), "links")
+    third = written(frequent_links(rows, shared, hot, group_of, measure), "links")
 
     # rows of one id with different sets are one document
-    links = first.unionByName(second).unionByName(copies)
+    links = first.unionByName(second).unionByName(third).unionByName(copies)
     final = components(links)
     return made.join(final, "id", "left").select(
         F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
