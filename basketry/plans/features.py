@@ -67,11 +67,8 @@ class FeatureSpec:
     fruit_lover_purchases: int = 3
 
 
-# What a product can be, as bits of one number, so that "any item of this kind" is one bit_or however many kinds
-# there are. The bits after these stand for the names of the category catalogue.
+# What a product can be, as bits of one number, so that "any item of this kind" is one bit_or.
 MARKS = ("milk", "fruit", "veggie", "meat", "organic", "bakery")
-CATEGORY_BIT = len(MARKS)
-MAX_CATEGORIES = 63 - CATEGORY_BIT
 
 
 def _text(value: str) -> str:
@@ -83,8 +80,8 @@ def _bit(mark: str) -> str:
     return f"{1 << MARKS.index(mark)}L"
 
 
-def product_marks(spec: FeatureSpec, catalogue: Sequence[str] | None) -> str:
-    """The marks of a product as SQL. Without a catalogue the category bits stay empty."""
+def product_marks(spec: FeatureSpec) -> str:
+    """The marks of a product as SQL."""
     conditions = {
         "milk": f"category_name = {_text(spec.milk_category)}",
         "fruit": f"category_name = {_text(spec.fruit_category)}",
@@ -94,37 +91,25 @@ def product_marks(spec: FeatureSpec, catalogue: Sequence[str] | None) -> str:
         "bakery": f"lower(product_name) RLIKE {_text('|'.join(spec.bakery_words))}",
     }
     bits = [f"if({condition}, {_bit(mark)}, 0L)" for mark, condition in conditions.items()]
-    if catalogue:
-        cases = [f"WHEN {_text(name)} THEN {1 << (CATEGORY_BIT + i)}L" for i, name in enumerate(catalogue)]
-        bits.append(f"CASE category_name {' '.join(cases)} ELSE 0L END")
     return " | ".join(bits)
 
 
 @dataclass(frozen=True)
 class _Scope:
-    """What measures are written with: the spec, the day, whether a row stands for its purchase, and whether the
-    marks hold the categories.
-
-    If they do not, a purchase has one row per category; ``first`` is true on one of them.
-    """
+    """What measures are written with: the spec and the day."""
 
     spec: FeatureSpec
     today: str
-    first: str = "true"
-    category_bits: bool = True
 
     def since(self, days: int) -> str:
         return f"purchase_date >= date_sub({self.today}, {days})"
 
     def count(self, condition: str) -> str:
-        return f"count_if({self.first} AND {condition})"
+        return f"count_if({condition})"
 
     def any(self, condition: str) -> str:
         return f"max(if({condition}, 1, 0))"
 
-    def once(self, value: str) -> str:
-        return f"if({self.first}, {value}, NULL)"
-
     def seen(self, mark: str, days: int | None = None) -> str:
         """Whether an item with this mark was bought, in the last days if given."""
         marks = "marks" if days is None else f"if({self.since(days)}, marks, NULL)"
@@ -142,8 +127,8 @@ MEASURES: dict[str, Callable[[_Scope], str]] = {
     "n_month": lambda s: s.count(s.since(s.spec.month_days)),
     "last_date": lambda s: "max(purchase_date)",
     "any_delivery": lambda s: s.any("is_delivery"),
-    "avg_basket": lambda s: f"avg({s.once('total_amount')})",
-    "spent_week": lambda s: f"sum(if({s.first} AND {s.since(s.spec.week_days)}, total_amount, NULL))",
+    "avg_basket": lambda s: "avg(total_amount)",
+    "spent_week": lambda s: f"sum(if({s.since(s.spec.week_days)}, total_amount, NULL))",
     "last_hour": lambda s: "max(purchase_hour)",
     "first_hour": lambda s: "min(purchase_hour)",
     "any_early": lambda s: s.any(f"purchase_hour BETWEEN {s.spec.early_from_hour} AND {s.spec.early_to_hour}"),
@@ -164,12 +149,7 @@ MEASURES: dict[str, Callable[[_Scope], str]] = {
     "n_fruit_month": lambda s: s.count(f"marks & {_bit('fruit')} <> 0 AND {s.since(s.spec.month_days)}"),
     "n_baskets": lambda s: s.count("n_items IS NOT NULL"),
     "n_single": lambda s: s.count("n_items = 1"),
-    "n_items_total": lambda s: f"sum({s.once('n_items')})",
-    "n_categories": lambda s: (
-        f"bit_count(shiftright(bit_or(marks), {CATEGORY_BIT}))"
-        if s.category_bits
-        else "count(DISTINCT category_name)"
-    ),
+    "n_items_total": lambda s: "sum(n_items)",
 }
 _MARK_MEASURES = frozenset(
     ("milk_month", "fruit_short", "veggie_short", "meat_week", "meat_quarter", "organic", "bakery", "n_fruit_month")
@@ -246,69 +226,67 @@ FLAGS: dict[str, Flag] = {
 FLAG_NAMES = tuple(FLAGS)
 
 
-def category_catalogue(categories: DataFrame, at_most: int = MAX_CATEGORIES) -> list[str] | None:
-    """The category names of the mart with the name for "none", or None if there are more than ``at_most``."""
-    names = categories.select("category_name").filter("category_name IS NOT NULL").distinct()
-    found = {row[0] for row in names.limit(at_most + 1).collect()} | {NO_CATEGORY}
-    return sorted(found) if len(found) <= at_most else None
+#: measured apart from the others, see customer_categories
+CATEGORIES = "n_categories"
 
 
 def basket_facts(
-    items: DataFrame,
-    products: DataFrame | None,
-    spec: FeatureSpec,
-    catalogue: Sequence[str] | None = None,
-    *,
-    with_names: bool = False,
-    small: bool | None = None,
+    items: DataFrame, products: DataFrame | None, spec: FeatureSpec, *, small: bool | None = None
 ) -> DataFrame:
-    """Per purchase: number of items, the marks of its products, and its category names if asked for.
+    """Per purchase: number of items and the marks of its products.
 
     The product join is a left join: an item with an unknown product still counts as an item.
     """
     facts = [F.count("item_pk").alias("n_items")]
     if products is not None:
-        names = ["category_name"] if with_names else []
-        marked = products.select(
-            F.col("product_pk").alias("known_product_pk"), F.expr(product_marks(spec, catalogue)).alias("marks"), *names
-        )
+        marked = products.select(F.col("product_pk").alias("known_product_pk"), F.expr(product_marks(spec)).alias("marks"))
         items = lookup_join(items, marked, "product_pk", "known_product_pk", small=small, spread_by="item_pk")
         facts.append(F.bit_or("marks").alias("marks"))
-        if with_names:
-            # holds each name of the catalogue at most once
-            facts.append(F.collect_set("category_name").alias("categories"))
     return items.groupBy(F.col("purchase_pk").alias("basket_pk")).agg(*facts)
 
 
-def customer_measures(
-    inputs: MartInputs, spec: FeatureSpec, today: str, measures: Sequence[str], max_categories: int = MAX_CATEGORIES
+def customer_categories(
+    items: DataFrame, products: DataFrame, purchases: DataFrame, *, small: bool | None = None
 ) -> DataFrame:
+    """n_categories per customer_pk: the distinct category names bought, however many there are.
+
+    Equal pairs are merged by purchase and then by customer, before each shuffle; no set of names is held in a row.
+    """
+    named = products.select(F.col("product_pk").alias("known_product_pk"), "category_name")
+    bought = lookup_join(items, named, "product_pk", "known_product_pk", small=small, spread_by="item_pk")
+    bought = bought.filter(F.col("category_name").isNotNull()).select("purchase_pk", "category_name").distinct()
+    pairs = bought.join(purchases.select("purchase_pk", "customer_pk"), "purchase_pk")
+    pairs = pairs.select("customer_pk", "category_name").distinct()
+    return pairs.groupBy("customer_pk").agg(F.count(F.lit(1)).alias(CATEGORIES))
+
+
+def customer_measures(inputs: MartInputs, spec: FeatureSpec, today: str, measures: Sequence[str]) -> DataFrame:
     """The requested measures per customer_pk."""
     needed = set(measures)
-    by_product = bool(needed & _MARK_MEASURES) or "n_categories" in needed
-    catalogue = category_catalogue(inputs.categories, max_categories) if "n_categories" in needed else None
-    with_names = "n_categories" in needed and catalogue is None
-    small = SmallSides.measure(inputs, items=by_product, cities=bool(needed & _CITIES), names=with_names)
-    rows = latest_purchases(inputs.purchases)
-    first = "true"
+    by_product = bool(needed & _MARK_MEASURES)
+    with_names = CATEGORIES in needed
+    small = SmallSides.measure(
+        inputs, items=by_product or with_names, cities=bool(needed & _CITIES), names=with_names
+    )
+    purchases = rows = latest_purchases(inputs.purchases)
+    products = prepare_products(inputs.products, inputs.categories, small.categories) if by_product or with_names else None
 
     # By purchase first: the last versions are already spread by purchase, so this join moves only the baskets.
     if by_product or needed & _ITEM_COUNTS:
-        products = prepare_products(inputs.products, inputs.categories, small.categories) if by_product else None
-        baskets = basket_facts(
-            prepare_items(inputs.items), products, spec, catalogue, with_names=with_names, small=small.products
-        )
+        marked = products if by_product else None
+        baskets = basket_facts(prepare_items(inputs.items), marked, spec, small=small.products)
         rows = rows.join(baskets, F.col("purchase_pk") == F.col("basket_pk"), "left")
     if needed & _PAYMENTS:
         rows = with_payment_method(rows, inputs.payment_methods)
     if needed & _CITIES:
         rows = _with_cities(rows, inputs, small)
+    scope = _Scope(spec, today)
+    grouped = [F.expr(MEASURES[name](scope)).alias(name) for name in measures if name != CATEGORIES]
+    found = rows.groupBy("customer_pk").agg(*grouped) if grouped else None
     if with_names:
-        # One row per category of the purchase; the distinct count needs no set per customer.
-        rows = rows.select("*", F.posexplode_outer("categories").alias("_position", "category_name"))
-        first = "coalesce(_position = 0, true)"
-    scope = _Scope(spec, today, first, not with_names)
-    return rows.groupBy("customer_pk").agg(*[F.expr(MEASURES[name](scope)).alias(name) for name in measures])
+        counted = customer_categories(prepare_items(inputs.items), products, purchases, small=small.products)
+        found = counted if found is None else found.join(counted, "customer_pk", "left")
+    return found
 
 
 def _with_cities(purchases: DataFrame, inputs: MartInputs, small: SmallSides) -> DataFrame:
@@ -328,15 +306,14 @@ def feature_matrix(
     as_of: date | None = None,
     spec: FeatureSpec | None = None,
     flags: Sequence[str] = FLAG_NAMES,
-    max_categories: int = MAX_CATEGORIES,
 ) -> DataFrame:
     """customer_id and the flags as 0/1 integers, one row per customer, customers without purchases included."""
     spec = spec or FeatureSpec()
     today = "current_date()" if as_of is None else f"date'{as_of:%Y-%m-%d}'"
-    measures = [name for name in MEASURES if any(name in FLAGS[flag].needs for flag in flags)]
+    measures = [name for name in (*MEASURES, CATEGORIES) if any(name in FLAGS[flag].needs for flag in flags)]
     customers = prepare_customers(inputs.customers)
     if measures:
-        found = customer_measures(inputs, spec, today, measures, max_categories)
+        found = customer_measures(inputs, spec, today, measures)
         found = found.withColumnRenamed("customer_pk", "buyer_pk")
         customers = customers.join(found, F.col("customer_pk") == F.col("buyer_pk"), "left")
     values = [F.expr(f"if({FLAGS[flag].rule(spec, today)}, 1, 0)").alias(flag) for flag in flags]

@@ -272,11 +272,16 @@ def _manufacturers(context: MartContext) -> tuple[Rules, Columns]:
 # Details and links.
 
 
+def _positive(name: str) -> Column:
+    """Above zero; NaN, which Spark sorts above all numbers, is not."""
+    return (F.col(name) > 0) & ~F.isnan(name)
+
+
 @_contributes("products_details", "raw_products")
 def _products(context: MartContext) -> tuple[Rules, Columns]:
     rules = {
         **filled("id", "name", "group", "unit", "manufacturer_name", "manufacturer_inn"),
-        "price is not positive": F.col("price") > 0,
+        "price is not positive": _positive("price"),
     }
     return rules, {
         "product_pk": context.keys.key(F.lower("id")),
@@ -358,7 +363,7 @@ def _purchases(context: MartContext) -> tuple[Rules, Columns]:
     complete = reduce(lambda a, b: a & b, [F.col(name) != "" for name in address])
     rules = {
         **filled("purchase_id", "customer_id", "store_id"),
-        "total_amount is not positive": F.col("total_amount") > 0,
+        "total_amount is not positive": _positive("total_amount"),
     }
     if context.reject_future:
         rules["purchase_datetime is in the future"] = F.col("purchase_datetime") <= context.now
@@ -375,8 +380,13 @@ def _purchases(context: MartContext) -> tuple[Rules, Columns]:
 
 
 def explode_items(raw_purchases: DataFrame) -> DataFrame:
-    """One row per item of each purchase; purchases without items give none."""
-    items = raw_purchases.select("purchase_id", *STAMPS, F.inline(F.from_json("items", ITEM_EXTRACT)))
+    """One row per item of each purchase; purchases without items give none.
+
+    Each element is parsed by itself, so a bad one takes no other with it; it comes with empty fields.
+    """
+    elements = raw_purchases.select("purchase_id", *STAMPS, F.explode(F.from_json("items", "array<string>")).alias("_item"))
+    items = elements.select("purchase_id", *STAMPS, F.from_json("_item", ITEM_EXTRACT).alias("_item"))
+    items = items.select("purchase_id", *STAMPS, "_item.*")
     empty = F.lit("")
     return items.select(
         "purchase_id",
@@ -398,7 +408,7 @@ def _items(context: MartContext) -> tuple[Rules, Columns]:
     made = (F.col("manufacturer_name") != "") | (F.col("manufacturer_inn") != "")
     rules = {
         **filled("purchase_id", "product_id", "category", "unit"),
-        "total_price is not positive": F.col("total_price") > 0,
+        "total_price is not positive": _positive("total_price"),
     }
     return rules, {
         "item_pk": context.keys.key(*_lower("purchase_id", "product_id"), quantity_text(F.col("quantity"))),

@@ -14,7 +14,6 @@ from basketry.sources.tables import Reader, read_mart
 
 NO_CATEGORY = "Без категории"  # fixed value
 NO_CITY = -1  # fixed value
-PAYMENT_CODES_MAX = 255  # payment method ids are one byte, so their dimension has at most 256 rows
 
 
 @dataclass(frozen=True)
@@ -114,13 +113,11 @@ def latest_purchases(purchases: DataFrame) -> DataFrame:
 
 
 def with_payment_method(purchases: DataFrame, payment_methods: DataFrame) -> DataFrame:
-    """Add payment_method_name. The code is one byte, so the dimension is broadcast whatever the data."""
-    names = (
-        latest_version(payment_methods, ["payment_method_id"])
-        .filter(F.col("payment_method_id").between(0, PAYMENT_CODES_MAX))
-        .select(F.col("payment_method_id").alias("_method"), "payment_method_name")
+    """Add payment_method_name. Spark broadcasts the names if they turn out small; a hot method is split by AQE."""
+    names = latest_version(payment_methods, ["payment_method_id"]).select(
+        F.col("payment_method_id").alias("_method"), "payment_method_name"
     )
-    return purchases.join(F.broadcast(names), F.col("payment_method_id") == F.col("_method"), "left").drop("_method")
+    return purchases.join(names, F.col("payment_method_id") == F.col("_method"), "left").drop("_method")
 
 
 def with_delivery_city(

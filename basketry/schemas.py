@@ -112,6 +112,6 @@ RAW_SCHEMAS: dict[str, str] = {
 
 # What the mart reads out of the items of a purchase.
 ITEM_EXTRACT = (
-    "array<struct<product_id:string,category:string,quantity:string,unit:string,total_price:string,"
-    "manufacturer:struct<name:string,inn:string>>>"
+    "struct<product_id:string,category:string,quantity:string,unit:string,total_price:string,"
+    "manufacturer:struct<name:string,inn:string>>"
 )

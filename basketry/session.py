@@ -20,8 +20,6 @@ SETTINGS = {
     "spark.sql.dataFrameQueryContext.enabled": "false",
     # wide projections generate methods the JVM will not compile beyond 8000 bytes; smaller ones are faster
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # basket facts of a large catalogue keep a category set per purchase; the default of 128 keys would sort almost at once
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 

@@ -604,8 +604,8 @@ def _matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("feature_matrix_large_catalogue", sql.with_mart("SELECT * FROM matrix", sql.matrix(SPEC)))
 def _matrix_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The way taken when the catalogue has more category names than bits."""
-    return feature_matrix(mart_inputs(spark, sf_dir), AS_OF, SPEC, max_categories=2)
+    """A catalogue of any size takes the same way."""
+    return feature_matrix(mart_inputs(spark, sf_dir), AS_OF, SPEC)
 
 
 @query(

@@ -303,6 +303,18 @@ def test_malformed_items_give_no_rows(spark):
         assert mart_table("purchases_details", raw, CONTEXT).count() == 1
 
 
+def test_bad_items_take_no_others_with_them(spark):
+    good = PURCHASE["items"][0]
+    raw = raw_of(spark, purchases=[changed(PURCHASE, items=[good, 5, "x", None, [good]])])
+    assert mart_table("purchase_item_details", raw, CONTEXT).count() == 1
+
+
+def test_nan_is_not_positive(spark):
+    raw = raw_of(spark, purchases=[changed(PURCHASE, total_amount="nan")], products=[changed(PRODUCT, price="nan")])
+    assert mart_table("purchases_details", raw, CONTEXT).count() == 0
+    assert mart_table("products_details", raw, CONTEXT).count() == 0
+
+
 def test_quantity_text(spark):
     df = spark.createDataFrame([(2.0,), (0.5,), (10.0,)], "q double")
     assert [row[0] for row in df.select(quantity_text(F.col("q"))).collect()] == ["2", "0.5", "10"]
