@@ -43,7 +43,7 @@ STAGES = [
     ("sentencepiece_encoding", encoded),
 ]
 
-#: trained models and similarity joins of whole texts are beyond SQL; the tests compare each stage with brute force
+#: trained models and similarity joins of whole texts are beyond SQL; the tests cover the operators one by one
 ORACLE_SQL = None
 
 
