@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -71,11 +72,35 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.
             for at in range(0, batch.num_rows, rows or max(1, batch.num_rows)):
                 out = fn(batch.slice(at, rows))
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+        give_back()
 
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
+_HELD: dict = {}
+
+
+def of_worker(key, make: Callable):
+    """What a worker keeps between tasks, such as a table of tokens.
+
+    A worker serves one operator after another; it holds the table of the last one only.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        give_back()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def give_back() -> None:
+    """Return freed memory to the system, so that workers that wait hold little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Index(dict):
     """Numbers tokens in the order they are first seen; ``fresh`` are those not yet taken."""
 

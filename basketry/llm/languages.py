@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import TokenTable, held_out, input_columns, per_batch, ship, table
+from basketry.llm.common import TokenTable, held_out, input_columns, of_worker, per_batch, ship, table
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 2000
@@ -35,7 +35,7 @@ SMOOTHING = 0.1
 SCRIPT_SHARE = 0.01
 FLOOR = -50.0
 #: most numbers held at a time by the path search
-CELLS = 8_000_000
+CELLS = 4_000_000
 
 # First code point of each range of the Unicode blocks, and the script of letters there.
 SCRIPT_RANGES = (
@@ -161,7 +161,7 @@ class Identifier:
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.words = TokenTable(model.score_words, limit=max(20_000, 2_000_000 // len(model.languages)))
+        self.words = TokenTable(model.score_words, limit=max(20_000, 1_000_000 // len(model.languages)))
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float, list[tuple[str, int, int, int]]]]:
         """Of each text its language, the share of letters in it, and spans: language, first word, words, letters."""
@@ -253,18 +253,12 @@ def train(
     return LanguageModel(languages, grams, scripts)
 
 
-_IDENTIFIERS: dict[str, Identifier] = {}
-
-
 def _labels(shared, column: pa.Array):
-    """Labels of a batch; the worker keeps the identifier of the model it used last."""
+    """Labels of a batch; the worker keeps the identifier between its tasks."""
     if shared is None:
         return [(UNKNOWN, 0.0, [])] * len(column)
     model = shared.value
-    if model.key not in _IDENTIFIERS:
-        _IDENTIFIERS.clear()
-        _IDENTIFIERS[model.key] = Identifier(model)
-    return _IDENTIFIERS[model.key].label(column.to_pylist())
+    return of_worker(("languages", model.key), lambda: Identifier(model)).label(column.to_pylist())
 
 
 _SPANS = "array<struct<lang:string,first_word:int,words:int,letters:int>>"

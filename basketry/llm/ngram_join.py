@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import TokenTable, input_columns, per_batch, ship, table, texts_of, utf8, written
+from basketry.llm.common import TokenTable, input_columns, of_worker, per_batch, ship, table, texts_of, utf8, written
 from basketry.llm.components import components
 
 FREQUENT = 64
@@ -100,14 +100,9 @@ class Shingler:
         return np.unique(mixed ^ (mixed >> np.uint64(32)))
 
 
-_SHINGLERS: dict[int, Shingler] = {}
-
-
 def shingler(words: int) -> Shingler:
     """One per worker: its table of word hashes serves all tasks."""
-    if words not in _SHINGLERS:
-        _SHINGLERS[words] = Shingler(words)
-    return _SHINGLERS[words]
+    return of_worker(("shingler", words), lambda: Shingler(words))
 
 
 class PrefixTree:

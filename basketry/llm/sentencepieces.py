@@ -20,19 +20,18 @@ at a time; repeated rows are kept; extra columns are left out.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from basketry.llm.common import input_columns, per_batch, table, texts_of, utf8
+from basketry.llm.common import input_columns, of_worker, per_batch, table, texts_of, utf8
 
 MARKER = "▁"
 #: how far below the lowest piece a character spelled in bytes scores
 FALLBACK_PENALTY = 10.0
 #: most parts whose ids a worker remembers
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: longer parts are solved one by one
 SIDE_BY_SIDE = 64
 
@@ -248,9 +247,12 @@ class Unigram:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))[1:]
 
 
-@lru_cache(maxsize=2)
 def unigram(model_file: str, zipf: bool = True) -> Unigram:
     """The encoder of a model file, once per worker. ``zipf``: the file's scores are ranks."""
+    return of_worker(("pieces", model_file, zipf), lambda: _unigram(model_file, zipf))
+
+
+def _unigram(model_file: str, zipf: bool) -> Unigram:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)

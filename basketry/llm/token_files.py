@@ -22,7 +22,6 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import input_columns, new_folder, ship, table, texts_of, utf8, written
+from basketry.llm.common import input_columns, new_folder, of_worker, ship, table, texts_of, utf8, written
 from basketry.llm.elias_fano import EliasFano
 
 END_ID = 2
@@ -121,10 +120,9 @@ class WordEncoder:
         return [b"".join(map(known, words)) for words in split]
 
 
-@lru_cache(maxsize=2)
 def encoder(tokenizer_file: str) -> WordEncoder:
     """One encoder per worker process; what it remembers serves all tasks."""
-    return WordEncoder(tokenizer_file)
+    return of_worker(("words", tokenizer_file), lambda: WordEncoder(tokenizer_file))
 
 
 def write_shards(docs: DataFrame, tokenizer_file: str, folder: str, end_id: int = END_ID, shards: int | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import TokenTable, held_out, input_columns, per_batch, ship, table, texts_of, utf8, written
+from basketry.llm.common import TokenTable, held_out, input_columns, of_worker, per_batch, ship, table, texts_of, utf8, written
 
 SAMPLE_ROWS = 4000
 LEXICON_SIZE = 5000
@@ -145,15 +145,10 @@ class Scorer:
         self.key, self.lexicon = uuid.uuid4().hex, lexicon
 
 
-_FEATURES: dict[str, TextFeatures] = {}
-
-
 def _features(shared, column: pa.Array) -> pa.Array:
     scorer = shared.value
-    if scorer.key not in _FEATURES:
-        _FEATURES.clear()
-        _FEATURES[scorer.key] = TextFeatures(scorer.lexicon)
-    made = _FEATURES[scorer.key].of(texts_of(column))
+    features = of_worker(("toxicity", scorer.key), lambda: TextFeatures(scorer.lexicon))
+    made = features.of(texts_of(column))
     offsets = np.arange(0, made.size + 1, len(FEATURES), dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(made.ravel()))
 
