@@ -72,6 +72,7 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.
             for at in range(0, batch.num_rows, rows or max(1, batch.num_rows)):
                 out = fn(batch.slice(at, rows))
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+        batch = out = None
         give_back()
 
     ship(df.sparkSession)
@@ -87,12 +88,17 @@ def of_worker(key, make: Callable):
     A worker serves one operator after another; it holds the table of the last one only.
     """
     if key not in _HELD:
-        _HELD.clear()
-        give_back()
+        let_go()
         _HELD[key] = make()
     return _HELD[key]
 
 
+def let_go() -> None:
+    """Drop what the worker keeps, before work that needs none of it."""
+    _HELD.clear()
+    give_back()
+
+
 def give_back() -> None:
     """Return freed memory to the system, so that workers that wait hold little."""
     pa.default_memory_pool().release_unused()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import TokenTable, held_out, input_columns, of_worker, per_batch, ship, table
+from basketry.llm.common import TokenTable, held_out, input_columns, let_go, of_worker, per_batch, ship, table
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 2000
@@ -35,7 +35,9 @@ SMOOTHING = 0.1
 SCRIPT_SHARE = 0.01
 FLOOR = -50.0
 #: most numbers held at a time by the path search
-CELLS = 4_000_000
+CELLS = 1_000_000
+#: texts labelled at a time
+TEXTS = 2048
 
 # First code point of each range of the Unicode blocks, and the script of letters there.
 SCRIPT_RANGES = (
@@ -161,7 +163,7 @@ class Identifier:
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.words = TokenTable(model.score_words, limit=max(20_000, 1_000_000 // len(model.languages)))
+        self.words = TokenTable(model.score_words, limit=max(20_000, 500_000 // len(model.languages)))
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float, list[tuple[str, int, int, int]]]]:
         """Of each text its language, the share of letters in it, and spans: language, first word, words, letters."""
@@ -221,6 +223,7 @@ def train(
     sample = usable.filter(position <= share[F.col("lang")])
 
     def count(batches):
+        let_go()
         total = {name: (np.zeros(BUCKETS, np.int64), np.zeros(len(SCRIPTS), np.int64)) for name in languages}
         seen = set()
         for batch in batches:
@@ -286,21 +289,22 @@ def identify(docs: DataFrame, model: LanguageModel | None, doc_id: str = "doc_id
             }
         )
 
-    return per_batch(rows, run, f"doc_id {kind}, lang_pred string, score double, spans {_SPANS}")
+    return per_batch(rows, run, f"doc_id {kind}, lang_pred string, score double, spans {_SPANS}", TEXTS)
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel | None, text: str = "text", least_score: float = 0.0) -> DataFrame:
     """The rows of ``docs`` whose text has a language, at this share of its letters at least."""
     names = docs.columns
-    boxed = docs.select(docs[f"`{text}`"].cast("string").alias("_text"), F.struct(*(docs[f"`{n}`"] for n in names)).alias("_row"))
+    boxed = docs.select(F.struct(*(docs[f"`{n}`"] for n in names)).alias("_row"))
+    place = names.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model) if model else None
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = _labels(shared, batch.column("_text"))
+        found = _labels(shared, batch.column("_row").field(place))
         keep = [label != UNKNOWN and score >= least_score for label, score, _ in found]
         return batch.filter(pa.array(keep, pa.bool_()))
 
-    kept = per_batch(boxed, run, boxed.schema)
+    kept = per_batch(boxed, run, boxed.schema, TEXTS)
     return kept.select(*(F.col("_row").getField(n).alias(n) for n in names))
 
 

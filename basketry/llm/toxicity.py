@@ -38,6 +38,8 @@ LEAST_LOG_ODDS = 1.5
 STEM_LENGTHS = range(4, 9)
 TREES, DEPTH = 12, 3
 THRESHOLD = 0.5
+#: texts turned into features at a time
+TEXTS = 2048
 NEAR = 3
 
 # Second-person pronouns of English, German, French, Spanish, Italian and Portuguese.
@@ -79,7 +81,7 @@ class TextFeatures:
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
-        self.tokens = TokenTable(self._rows, limit=300_000)
+        self.tokens = TokenTable(self._rows, limit=150_000)
 
     def _rows(self, tokens: list[bytes]) -> np.ndarray:
         rows = np.zeros((len(tokens), len(self.COLUMNS)), np.float32)
@@ -162,7 +164,7 @@ def with_features(df: DataFrame, shared) -> DataFrame:
         columns = {name: batch.column(name) for name in names}
         return pa.RecordBatch.from_pydict(columns | {"features": _features(shared, batch.column("body"))})
 
-    return per_batch(df, run, schema)
+    return per_batch(df, run, schema, TEXTS)
 
 
 def learn_lexicon(labelled: DataFrame, size: int = LEXICON_SIZE) -> dict[str, float]:
