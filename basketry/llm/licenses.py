@@ -1,36 +1,48 @@
 """Licence scans: TF-IDF cosine of headers and licence files to templates, inherited along directories.
 
-The words of all templates are the vocabulary; their document frequencies are counted over all texts. A header is a
-line that mentions a licence (``MARKERS``), a licence file a text that is as a whole close to a template. A segment's
-vector holds its words' counts times their inverse document frequencies, words outside the vocabulary included at the
-weight of a word in no text; its cosine to each template is taken sparsely, over the words they share.
+The words of all templates are the vocabulary; their document frequencies are counted over all texts and templates.
+Templates are short statements, the standard headers and the whole texts of licences. A segment's vector holds its
+words' counts times their inverse document frequencies, words outside the vocabulary included at the weight of a word
+in no text; its cosine to each template is taken sparsely, over the words they share.
+
+A licence file is a text that is as a whole close to a template; its licence is the closest one. In other texts a header
+is a run of adjacent lines around one that mentions a licence (``MARKERS``): the run grows down and then up while its
+cosine to a template can still rise, over at most ``PATIENCE`` words without a rise and up to ``LONGEST`` times the
+template's words. Whole texts above ``HEADER_WORDS`` words are templates of licence files only. Of several headers the
+one that shares most weight with its template counts, so the terms of BSD precede the ``All rights reserved`` in them.
 
 A text without a header of its own inherits from the nearest ancestor directory that holds a licence file (its own
 directory comes first). Directories are made distinct before they are joined with their ancestors, so the join grows
 with the directories; of several licence files in one directory the closest counts, then the first by path.
 
 Defined results: null and empty texts have no licence of their own; a null path belongs to no directory and inherits
-nothing. Equal cosines go to the template that comes first by name. Repeated rows are kept; extra columns are left out.
+nothing. Equal cosines go to the template that comes first by name. A licence without a template may go to one whose
+text it shares (versions and variants of one family) or to none. Repeated rows are kept; extra columns are left out.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable, Mapping
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import input_columns, per_batch, ship, table, texts_of, utf8, written
+from basketry.llm.common import per_batch, ship, table, texts_of, utf8, written
+from basketry.llm.license_texts import HEADERS, TEXTS
 
 HEADER_COSINE = 0.6
 FILE_COSINE = 0.7
+PATIENCE = 60
+LONGEST = 4
+HEADER_WORDS = 600
 MARKERS = re.compile(rb"licen[cs]e|copyright|spdx|permission is|redistribution and use|public domain|rights reserved")
 
 # Short statements of well-known licences.
-TEMPLATES = {
+STATEMENTS = {
     "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted. BSD 3-Clause License.",
@@ -46,6 +58,10 @@ TEMPLATES = {
     "Proprietary": "Copyright. All rights reserved.",
 }
 
+TEMPLATES = {
+    name: tuple(kind[name] for kind in (STATEMENTS, HEADERS, TEXTS) if name in kind) for name in sorted({*STATEMENTS, *HEADERS, *TEXTS})
+}
+
 _WORD = re.compile(rb"[a-z0-9]+")
 
 
@@ -53,33 +69,119 @@ def words_of(text: bytes) -> list[bytes]:
     return _WORD.findall(text.lower())
 
 
+def bodies_of(templates: Mapping[str, str | Iterable[str]]) -> list[tuple[str, list[bytes]]]:
+    """Each template's name and words; a name may have several."""
+    return [
+        (name, words_of(body.encode()))
+        for name in sorted(templates)
+        for body in ([templates[name]] if isinstance(templates[name], str) else templates[name])
+    ]
+
+
 class Matcher:
-    """Sparse cosine of a segment to each template."""
+    """Sparse cosine of a segment to each template.
+
+    The templates count among the texts, so that words of every text weigh little however few texts there are.
+    """
 
-    def __init__(self, templates: dict[str, str], frequency: dict[bytes, int], texts: int):
-        self.names = sorted(templates)
+    def __init__(self, templates: Mapping[str, str | Iterable[str]], frequency: dict[bytes, int], texts: int):
+        bodies = bodies_of(templates)
+        frequency = Counter(frequency) + Counter(word for _, words in bodies for word in set(words))
+        texts += len(bodies)
+        self.names = [name for name, _ in bodies]
         self.unseen = float(np.log((1 + texts) / 1.0)) + 1
         self.idf = {word: float(np.log((1 + texts) / (1 + n))) + 1 for word, n in frequency.items()}
-        self.postings: dict[bytes, list[tuple[int, float]]] = {}
-        for number, name in enumerate(self.names):
-            weights = self._weights(words_of(templates[name].encode()))
+        self.rows = {word: row for row, word in enumerate(sorted({word for _, words in bodies for word in words}))}
+        #: what one more of a word adds to the product with each template of length 1
+        self.parts = np.zeros((len(self.rows), len(bodies)))
+        for number, (_, words) in enumerate(bodies):
+            weights = {word: n * self._idf(word) for word, n in Counter(words).items()}
             norm = float(np.sqrt(sum(w * w for w in weights.values())))
             for word, weight in weights.items():
-                self.postings.setdefault(word, []).append((number, weight / norm))
+                self.parts[self.rows[word], number] = weight * self._idf(word) / norm
+        sizes = np.array([len(words) for _, words in bodies])
+        self.short = np.flatnonzero(sizes <= HEADER_WORDS)
+        self.limits = LONGEST * sizes[self.short]
+        self.short_parts = np.ascontiguousarray(self.parts[:, self.short])
 
-    def _weights(self, words: list[bytes]) -> dict[bytes, float]:
-        return {word: n * self.idf.get(word, self.unseen) for word, n in Counter(words).items()}
+    def _idf(self, word: bytes) -> float:
+        return self.idf.get(word, self.unseen)
 
     def best(self, words: list[bytes]) -> tuple[str | None, float]:
-        weights = self._weights(words)
-        scores: dict[int, float] = {}
-        for word in weights.keys() & self.postings.keys():
-            for number, part in self.postings[word]:
-                scores[number] = scores.get(number, 0.0) + weights[word] * part
-        if not scores:
+        """The template closest to the words as a whole."""
+        counts = Counter(words)
+        shared = sorted(counts.keys() & self.rows.keys())
+        if not shared:
+            return None, 0.0
+        scores = np.array([counts[word] for word in shared], float) @ self.parts[[self.rows[word] for word in shared]]
+        number = int(np.argmax(np.round(scores, 12)))
+        return self.names[number], min(1.0, float(scores[number]) / float(np.sqrt(sum((n * self._idf(w)) ** 2 for w, n in counts.items()))))
+
+    def header(self, lines: list[bytes], least: float) -> tuple[str | None, float]:
+        """The header that shares most weight with its template, of all runs of lines with a cosine of ``least``."""
+        words: dict[int, list[bytes]] = {}
+        products: dict[int, np.ndarray] = {}
+
+        def line(at: int) -> list[bytes]:
+            if at not in words:
+                words[at] = words_of(lines[at])
+                known = [self.rows[word] for word in words[at] if word in self.rows]
+                products[at] = self.short_parts[known].sum(axis=0)
+            return words[at]
+
+        class Run:
+            """Counts, squared length and products of a growing run."""
+
+            def __init__(run):
+                run.counts, run.squared, run.size, run.product = Counter(), 0.0, 0, np.zeros(len(self.short))
+
+            def add(run, at: int) -> int:
+                for word in line(at):
+                    n = run.counts[word]
+                    run.squared += self._idf(word) ** 2 * (2 * n + 1)
+                    run.counts[word] = n + 1
+                run.size += len(words[at])
+                run.product = run.product + products[at]
+                return len(words[at])
+
+            def cosines(run) -> np.ndarray:
+                return run.product / np.sqrt(run.squared) if run.squared else run.product
+
+        found: dict[int, tuple[float, float]] = {}
+        covered: set[int] = set()
+        for seed, text in enumerate(lines):
+            if seed in covered or not MARKERS.search(text.lower()):
+                continue
+            run = Run()
+            top, end, waited = np.full(len(self.short), -1.0), np.full(len(self.short), seed), np.zeros(len(self.short), int)
+            for at in range(seed, len(lines)):
+                added = run.add(at)
+                now = run.cosines()
+                rises = now > top
+                top, end = np.where(rises, now, top), np.where(rises, at, end)
+                waited = np.where(rises, 0, waited + added)
+                if not ((waited <= PATIENCE) & (run.size <= self.limits)).any():
+                    break
+            for k in np.flatnonzero(top >= least / 2):
+                run = Run()
+                for at in range(seed, end[k] + 1):
+                    run.add(at)
+                start, close, product, still = seed, float(top[k]), float(run.product[k]), 0
+                for at in range(seed - 1, -1, -1):
+                    still += run.add(at)
+                    now = float(run.cosines()[k])
+                    if now > close:
+                        start, close, product, still = at, now, float(run.product[k]), 0
+                    if still > PATIENCE or run.size > self.limits[k]:
+                        break
+                if close >= least:
+                    covered.update(range(start, end[k] + 1))
+                    most, closest = found.get(k, (0.0, 0.0))
+                    found[k] = (max(most, product), max(closest, close))
+        if not found:
             return None, 0.0
-        number = min(scores, key=lambda k: (-round(scores[k], 12), k))
-        return self.names[number], min(1.0, scores[number] / float(np.sqrt(sum(w * w for w in weights.values()))))
+        name = self.names[self.short[min(found, key=lambda k: (-round(found[k][0], 12), k))]]
+        return name, min(1.0, max(close for k, (_, close) in found.items() if self.names[self.short[k]] == name))
 
 
 def document_frequencies(texts: DataFrame, vocabulary: frozenset[bytes]) -> tuple[dict[bytes, int], int]:
@@ -113,7 +215,7 @@ def parent_of(path: F.Column) -> F.Column:
 def scan(
     docs: DataFrame,
     path: F.Column,
-    templates: dict[str, str] = TEMPLATES,
+    templates: Mapping[str, str | Iterable[str]] = TEMPLATES,
     doc_id: str = "doc_id",
     text: str = "text",
     header_cosine: float = HEADER_COSINE,
@@ -125,24 +227,21 @@ def scan(
     """
     rows = docs.select(docs[f"`{doc_id}`"].alias("doc_id"), path.cast("string").alias("path"), utf8(f"`{text}`").alias("body"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    vocabulary = frozenset(word for body in templates.values() for word in words_of(body.encode()))
+    vocabulary = frozenset(word for _, words in bodies_of(templates) for word in words)
     frequency, total = document_frequencies(rows, vocabulary)
     shared = docs.sparkSession.sparkContext.broadcast(Matcher(templates, frequency, total))
 
     def match(batch: pa.RecordBatch) -> pa.RecordBatch:
-        best_of = shared.value.best
+        matcher = shared.value
         names, cosines, files = [], [], []
         for body in texts_of(batch.column("body")):
             name, cosine, is_file = None, 0.0, False
             if MARKERS.search(body.lower()):
-                whole, close = best_of(words_of(body))
+                whole, close = matcher.best(words_of(body))
                 if close >= file_cosine:
                     name, cosine, is_file = whole, close, True
-                for line in body.splitlines():
-                    if MARKERS.search(line.lower()):
-                        found, near = best_of(words_of(line))
-                        if near >= header_cosine and near > cosine:
-                            name, cosine = found, near
+                else:
+                    name, cosine = matcher.header(body.splitlines(), header_cosine)
             names.append(name)
             cosines.append(cosine)
             files.append(is_file)

@@ -235,3 +235,56 @@ def test_licences_are_found_and_inherited(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, path string")
     found = {row.doc_id: (row.license, row.found_in) for row in licenses.scan(docs, F.col("path")).collect()}
     assert found == {1: ("MIT", "file"), 2: ("MIT", "directory"), 3: ("Apache-2.0", "header"), 4: (None, None), 5: (None, None)}
+
+
+def test_whole_licence_texts_and_standard_headers(spark):
+    from pyspark.sql import functions as F
+
+    mit = """Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+    gpl = """# This program is free software: you can redistribute it
+# and/or modify it under the terms of the GNU General
+# Public License as published by the Free Software
+# Foundation, either version 3 of the License, or (at your
+# option) any later version.
+#
+# This program is distributed in the hope that it will be
+# useful, but WITHOUT ANY WARRANTY; without even the implied
+# warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+# PURPOSE.  See the GNU General Public License for more
+# details."""
+    apache = """/* Copyright 2021 Acme
+ * Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+ * with the License. You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on
+ * an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. */"""
+    bsd = "All rights reserved.\n" + licenses.TEXTS["BSD-3-Clause"].partition("All rights reserved.")[2]
+    code = "\n".join(f"value{k} = compute(other{k}, {k})" for k in range(80))
+    rows = [
+        (1, mit, "a/LICENSE"), (2, "plain words", "a/b/c.txt"), (3, f"import os\n{gpl}\n{code}", "a/b/d.py"),
+        (4, f"{apache}\n{code}", "e/f.c"), (5, f"{code}\n{mit}", "e/g.py"), (6, f"{bsd}\n{code}", "e/h.py"), (7, code, "e/i.py"),
+        *((10 + k, licenses.TEXTS[name], f"{name}/COPYING") for k, name in enumerate(("AGPL-3.0", "Apache-2.0", "GPL-2.0", "GPL-3.0", "MPL-2.0"))),
+        (20, code, "GPL-2.0/src/main.c"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    found = {row.doc_id: (row.license, row.found_in) for row in licenses.scan(docs, F.col("path")).collect()}
+    assert found == {
+        1: ("MIT", "file"), 2: ("MIT", "directory"), 3: ("GPL-3.0", "header"), 4: ("Apache-2.0", "header"), 5: ("MIT", "header"),
+        6: ("BSD-3-Clause", "header"), 7: (None, None), 10: ("AGPL-3.0", "file"), 11: ("Apache-2.0", "file"), 12: ("GPL-2.0", "file"),
+        13: ("GPL-3.0", "file"), 14: ("MPL-2.0", "file"), 20: ("GPL-2.0", "directory"),
+    }
