@@ -1,10 +1,12 @@
 """Main text of web pages by tag-path ratios.
 
 A page becomes blocks of text, each with its root-to-leaf path of block elements (tag and first class). Blocks inside
-elements that are boilerplate by tag, role or class are set aside. Per path, text length without links and punctuation
-are summed and divided by the path's blocks; both ratios are smoothed over neighbouring paths, multiplied, and compared
-with a threshold drawn from their spread. The containers of the paths above it (an ``article`` or ``main`` if there is
-one, else the parent element) are content, and all their blocks are kept, short ones too.
+elements that are boilerplate by tag, role or class are set aside. Over all other blocks of the page, text length
+without links and punctuation are summed per path and divided by the path's blocks; both ratios are smoothed over
+neighbouring blocks in page order, multiplied, and compared with a threshold drawn from their spread. A path is content
+if its blocks reach the threshold on average; all its blocks are kept, short ones too. Of the other blocks those are kept
+that stand beside content: in the parent element of a content path with nothing between but lists, tables, quotes,
+headings and the like (``BESIDE``), unless their path is mostly links. ``article`` and ``main`` have no special part.
 
 Defined results: null or empty html, and pages without content, give the empty text. Tags cut off at the end are
 dropped, elements left open end with the page. Repeated rows are kept; extra columns are left out.
@@ -46,6 +48,9 @@ BOILERPLATE_WORDS = frozenset(
     "recommended newsletter subscribe subscription signup login search widget toolbar pagination pager legal "
     "disclaimer copyright form skip hidden".split()
 )
+BESIDE = frozenset(
+    "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th blockquote pre figure figcaption".split()
+)
 CLOSES = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]),
     "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"]),
@@ -164,14 +169,6 @@ def blocks_of(page: str) -> Iterator[Block]:
     yield from finish()
 
 
-def container(path: tuple[str, ...]) -> tuple[str, ...]:
-    """The innermost article or main of a path, else its parent element."""
-    for depth in range(len(path), 0, -1):
-        if path[depth - 1].partition(".")[0] in ("article", "main"):
-            return path[:depth]
-    return path[:-1] if len(path) > 1 else path
-
-
 def content_paths(blocks: list[Block]) -> set[tuple[str, ...]]:
     """Paths whose smoothed and fused ratios reach the threshold."""
     sums: dict[tuple[str, ...], list[int]] = {}
@@ -183,6 +180,8 @@ def content_paths(blocks: list[Block]) -> set[tuple[str, ...]]:
     paths = list(sums)
     if len(paths) == 1:
         return set(paths)
+    number_of = {path: number for number, path in enumerate(paths)}
+    at = np.array([number_of[block.path] for block in blocks])
     numbers = np.array([sums[path] for path in paths], float)
     left, middle, right = SMOOTHING
 
@@ -190,21 +189,42 @@ def content_paths(blocks: list[Block]) -> set[tuple[str, ...]]:
         around = np.concatenate((values[:1], values, values[-1:]))
         return left * around[:-2] + middle * around[1:-1] + right * around[2:]
 
-    fused = smooth(numbers[:, 0] / numbers[:, 2]) * smooth((1 + numbers[:, 1]) / numbers[:, 2]) * np.log1p(numbers[:, 0])
-    threshold = min(SPREAD * float(fused.std()), float(fused.max()))
-    return {path for path, value in zip(paths, fused, strict=True) if value >= threshold}
+    fused = smooth((numbers[:, 0] / numbers[:, 2])[at]) * smooth(((1 + numbers[:, 1]) / numbers[:, 2])[at]) * np.log1p(numbers[:, 0])[at]
+    means = np.bincount(at, fused) / numbers[:, 2]
+    threshold = min(SPREAD * float(fused.std()), float(means.max()))
+    return {path for path, value in zip(paths, means, strict=True) if value >= threshold}
+
+
+def beside(blocks: list[Block], content: set[tuple[str, ...]]) -> set[tuple[str, ...]]:
+    """Other paths that stand beside content and are not mostly links."""
+    parents = {path[:-1] for path in content}
+    sums: dict[tuple[str, ...], list[int]] = {}
+    for block in blocks:
+        if block.path not in content:
+            entry = sums.setdefault(block.path, [0, 0])
+            entry[0] += block.linked
+            entry[1] += len(block.text)
+    found = set()
+    for path, (linked, size) in sums.items():
+        if 2 * linked < size:
+            depth = len(path)
+            while depth and path[depth - 1].partition(".")[0] in BESIDE:
+                depth -= 1
+                if path[:depth] in parents:
+                    found.add(path)
+                    break
+    return found
 
 
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     blocks = list(blocks_of(page))
-    inside = [b for b in blocks if any(label.partition(".")[0] in ("article", "main") for label in b.path)]
-    blocks = inside or blocks
     if not blocks:
         return ""
-    containers = {container(path) for path in content_paths(blocks)}
-    return "\n".join(b.text for b in blocks if any(b.path[: len(c)] == c for c in containers))
+    content = content_paths(blocks)
+    kept = content | beside(blocks, content)
+    return "\n".join(block.text for block in blocks if block.path in kept)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", body: str = "html") -> DataFrame:

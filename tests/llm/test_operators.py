@@ -288,3 +288,16 @@ OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
         6: ("BSD-3-Clause", "header"), 7: (None, None), 10: ("AGPL-3.0", "file"), 11: ("Apache-2.0", "file"), 12: ("GPL-2.0", "file"),
         13: ("GPL-3.0", "file"), 14: ("MPL-2.0", "file"), 20: ("GPL-2.0", "directory"),
     }
+
+
+def test_main_text_is_chosen_by_ratios_of_the_whole_page():
+    long = "The river, which rises in the hills, runs for many miles; then it turns west. Its banks are low, and floods are common there."
+    body = "\n".join([long, "Kinds", "red", "blue", long, long])
+    post = f'<div class="post"><p>{long}</p><h2>Kinds</h2><ul><li>red</li><li>blue</li></ul><p>{long}<p>{long}</div>'
+    teasers = "".join(f'<article class="card"><h3><a href="/{k}">Story {k}</a></h3><p>Some words on it</p></article>' for k in range(6))
+    assert main_text.main_text(f"<body>{post}{teasers}</body>") == body
+    assert main_text.main_text(f"<body>{teasers}{post}</body>") == body
+    links = "".join(f'<li><a href="/{k}">More of this {k}</a></li>' for k in range(5))
+    unnamed = f'<div class="x7"><div>Tags</div><ul>{links}</ul></div>'
+    for article in (f"<p>{long}{unnamed}<p>{long}", f"{unnamed}<p>{long}<p>{long}", f"<p>{long}<p>{long}<ul>{links}</ul>{unnamed}"):
+        assert main_text.main_text(f"<body><article>{article}</article></body>") == f"{long}\n{long}"
