@@ -3,8 +3,8 @@
 Vectors are dealt into blocks and queries into blocks; each pair of blocks is a task's piece of work. A block of
 vectors has, per dimension, its rows sorted by value. A query reads the lists from the end that its sign makes best,
 scores what it meets, and stops when the bound (the score of a row that would have the last value read in every list)
-is below its k-th score; a tie reads on, as a smaller id may still come. Queries that have not stopped at the last
-depth read the lists to the end, which is a matrix product.
+is below its k-th score; a tie reads on, as a smaller id may still come. It reads in steps of growing depth, until it
+stops or has met every row of the block.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components take no part, nor does a null id;
 equal rows count once; vectors of different lengths are never compared; a row of the query's own id is no candidate;
@@ -22,7 +22,8 @@ from basketry.llm.common import input_columns, ship, table
 
 VECTOR_BLOCK = 8192
 QUERY_BLOCK = 2048
-DEPTHS = (16, 128)
+FIRST_DEPTH = 16
+GROWTH = 2
 
 
 class SortedLists:
@@ -43,7 +44,7 @@ class SortedLists:
         return queries @ self.vectors[rows].T
 
     def _best(self, rows: np.ndarray, scores: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of rows in the order of their ids, the k best."""
+        """The k best rows, by score and id."""
         keep = self.ids[rows] != own
         rows, scores = rows[keep], scores[keep]
         if len(rows) > k:
@@ -55,37 +56,42 @@ class SortedLists:
         return rows[order], scores[order]
 
     def top(self, queries: np.ndarray, own_ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids and scores of the k best of this block for each query."""
+        """Ids and scores of the k best of this block for each query; ``stopped`` counts those the bound ended."""
         count, size = self.vectors.shape
-        out: list = [None] * len(queries)
-        unfinished = []
+        out = []
+        self.stopped = 0
         dims = np.arange(size)
         for number, query in enumerate(queries):
             rising = query > 0
-            for depth in DEPTHS:
-                if depth * size >= count:
-                    unfinished.append(number)
+            used = dims[query != 0]
+            high, low = used[rising[used]], used[~rising[used]]
+            new, met = np.zeros(count, bool), np.zeros(count, bool)
+            rows, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            read, depth = 0, FIRST_DEPTH
+            while True:
+                depth = min(depth, count)
+                new[self.lists[count - depth : count - read, high]] = True
+                new[self.lists[read:depth, low]] = True
+                new &= ~met
+                if depth == count:
+                    # a query of zeros meets no row in its lists
+                    new = ~met
+                fresh = np.flatnonzero(new)
+                met |= new
+                new[:] = False
+                rows = np.concatenate((rows, fresh))
+                scores = np.concatenate((scores, self._scores(fresh, query[None])[0]))
+                rows, scores = self._best(rows, scores, own_ids[number], k)
+                if met.all():
                     break
-                seen = np.zeros(count, bool)
-                used = dims[query != 0]
-                seen[self.lists[count - depth :, used[rising[used]]]] = True
-                seen[self.lists[:depth, used[~rising[used]]]] = True
-                rows = np.flatnonzero(seen)
-                got = self._best(rows, self._scores(rows, query[None])[0], own_ids[number], k)
                 last = np.where(rising, self.lists[count - depth], self.lists[depth - 1])
                 bound = int((query * self.vectors[last, dims]).sum())
-                if len(got[0]) == k and got[1][-1] > bound:
-                    out[number] = got
+                if len(rows) == k and scores[-1] > bound:
+                    self.stopped += 1
                     break
-            else:
-                unfinished.append(number)
-        for at in range(0, len(unfinished), 256):
-            some = unfinished[at : at + 256]
-            scores = self._scores(slice(None), queries[some])
-            everything = np.arange(count)
-            for number, row in zip(some, scores, strict=True):
-                out[number] = self._best(everything, row, own_ids[number], k)
-        return [(self.ids[rows], scores) for rows, scores in out]
+                read, depth = depth, depth * GROWTH
+            out.append((self.ids[rows], scores))
+        return out
 
 
 def matrix(column: pa.ChunkedArray, size: int) -> np.ndarray:

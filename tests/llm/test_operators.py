@@ -301,3 +301,16 @@ def test_main_text_is_chosen_by_ratios_of_the_whole_page():
     unnamed = f'<div class="x7"><div>Tags</div><ul>{links}</ul></div>'
     for article in (f"<p>{long}{unnamed}<p>{long}", f"{unnamed}<p>{long}<p>{long}", f"<p>{long}<p>{long}<ul>{links}</ul>{unnamed}"):
         assert main_text.main_text(f"<body><article>{article}</article></body>") == f"{long}\n{long}"
+
+
+def test_top_k_stops_by_its_bound():
+    made = np.random.default_rng(6)
+    vectors = made.integers(-20, 20, (600, 64))
+    vectors[5:25] = 200 + made.integers(0, 9, (20, 64))
+    ids = made.permutation(600)
+    lists = top_k.SortedLists(ids, vectors)
+    queries = np.vstack([made.integers(1, 9, (4, 64)), np.zeros((1, 64), int), made.integers(-9, 9, (3, 64))])
+    for query, own, (got, scores) in zip(queries, ids, lists.top(queries, ids[: len(queries)], 5), strict=False):
+        wanted = sorted((-int(query @ v), int(k)) for k, v in zip(ids, vectors, strict=True) if k != own)[:5]
+        assert [(-int(s), int(k)) for k, s in zip(got, scores, strict=True)] == wanted
+    assert 4 <= lists.stopped < len(queries)
