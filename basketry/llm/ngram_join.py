@@ -358,10 +358,11 @@ def groups(docs: DataFrame, measure: Measure = Measure(), doc_id: str = "doc_id"
     made = written(sets_of(rows, measure), "sets")
     named = made.filter(F.col("id").isNotNull() & (F.col("n") > 0))
     prints = named.groupBy("print").agg(F.min("id").alias("node"))
-    copies = named.select("id", "print").join(prints, "print").filter("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b"))
-    copies = written(copies, "copies")
-    # a set stands for its copies: it is the one of the smallest id
-    sets = named.join(copies.select(F.col("b").alias("id")), "id", "left_anti")
+    copies = named.select("id", "print").join(prints, "print").filter("id <> node")
+    copies = written(copies.select(F.col("node").alias("a"), F.col("id").alias("b"), "print"), "copies")
+    # a set stands for its copies: it is the one of the smallest id; other sets of a copy's id stay
+    sets = named.join(copies.select(F.col("b").alias("id"), "print"), ["id", "print"], "left_anti")
+    copies = copies.select("a", "b")
     sets = written(sets.select("id", "n", "head"), "heads")
     grams = exploded(sets)
     counted = grams.groupBy("gram").agg(F.count("*").cast("int").alias("cnt"), F.min("id").alias("pivot")).filter("cnt > 1")

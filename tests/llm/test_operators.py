@@ -314,3 +314,12 @@ def test_top_k_stops_by_its_bound():
         wanted = sorted((-int(query @ v), int(k)) for k, v in zip(ids, vectors, strict=True) if k != own)[:5]
         assert [(-int(s), int(k)) for k, s in zip(got, scores, strict=True)] == wanted
     assert 4 <= lists.stopped < len(queries)
+
+
+@pytest.mark.parametrize("frequent", [2, 64])
+def test_copies_of_repeated_ids_keep_their_other_texts(spark, monkeypatch, frequent):
+    monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
+    near = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, "a b c d e f"), (5, "a b c d e f"), (5, near), (9, near + " w30"), (12, "x y z")]
+    found = ngram_join.groups(spark.createDataFrame(rows, "doc_id long, text string"), ngram_join.Measure(words=2, num=70)).collect()
+    assert sorted((row.doc_id, row.component_id) for row in found) == [(1, 1), (5, 1), (5, 1), (9, 1), (12, 12)]
