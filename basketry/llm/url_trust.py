@@ -6,7 +6,8 @@ Personalised PageRank carries trust along the links; distrust runs against them,
 Where no rule fits, a host is blocked if its distrust is at least ``BLOCK_SHARE`` of both, else allowed.
 
 Hosts, links and scores stay in tables; each round is written to the shared folder. Links are summed per pair of hosts
-before they are shuffled, so the work of a round grows with the pairs of hosts.
+before they are shuffled, so the work of a round grows with the pairs of hosts. Rounds go on until the scores of all
+hosts together change by less than ``TOLERANCE``; the damping bounds their number (``most_rounds``).
 
 Defined results: a null url, and one without ``://``, has empty host and path and is judged by the method like a host
 without links (allowed, unless it is a seed). Null or empty html has no links; links that name no host stay on theirs
@@ -15,6 +16,7 @@ and say nothing. Repeated rows are kept and count each; extra columns are left o
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -23,7 +25,6 @@ from pyspark.sql import functions as F
 from basketry.llm.common import input_columns, table, written
 
 DAMPING = 0.85
-MOST_ROUNDS = 30
 TOLERANCE = 1e-6
 BLOCK_SHARE = 2 / 3
 
@@ -80,7 +81,12 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.filter((F.col("src") != F.col("dst")) & (F.col("dst") != "") & (F.col("src") != "")).groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def spread(links: DataFrame, seeds: DataFrame, rounds: int, damping: float, tolerance: float) -> DataFrame:
+def most_rounds(damping: float, tolerance: float) -> int:
+    """Rounds after which the change, at most 2 for each kind and less by the damping each round, is below the tolerance."""
+    return 2 + max(0, math.ceil(math.log(tolerance / 4) / math.log(damping)))
+
+
+def spread(links: DataFrame, seeds: DataFrame, damping: float, tolerance: float, rounds: int | None = None) -> DataFrame:
     """host, kind, score: trust along the links, distrust against them. ``seeds``: host, kind, share (1 in all a kind)."""
     along = links.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n")
     against = links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")
@@ -92,7 +98,7 @@ def spread(links: DataFrame, seeds: DataFrame, rounds: int, damping: float, tole
     scores = seeds.select("kind", "host", F.col("share").alias("score"))
     if edges.isEmpty():
         return scores
-    for _ in range(rounds):
+    for _ in range(most_rounds(damping, tolerance) if rounds is None else rounds):
         moved = scores.join(edges, ["kind", "host"]).select(
             "kind", F.col("to").alias("host"), (damping * F.col("score") * F.col("weight")).alias("got"), F.lit(0.0).alias("share"), F.lit(0.0).alias("old")
         )
@@ -109,8 +115,8 @@ def spread(links: DataFrame, seeds: DataFrame, rounds: int, damping: float, tole
         change = now.agg(F.sum(F.abs(F.col("score") - F.col("old")))).first()[0]
         scores = now.select("kind", "host", "score").filter(F.col("score") > 0)
         if change < tolerance:
-            break
-    return scores
+            return scores
+    raise RuntimeError(f"trust still changes by {change} after the last round; give it more rounds or a larger tolerance")
 
 
 def judge(
@@ -119,11 +125,14 @@ def judge(
     page_id: str = "page_id",
     url: str = "url",
     html: str = "html",
-    rounds: int = MOST_ROUNDS,
+    rounds: int | None = None,
     damping: float = DAMPING,
     block_share: float = BLOCK_SHARE,
 ) -> DataFrame:
-    """A row per page: page_id, host, path, rule, verdict, host_trust, host_distrust."""
+    """A row per page: page_id, host, path, rule, verdict, host_trust, host_distrust.
+
+    ``rounds``: a limit below that of the damping; it is an error if the scores have not settled by then.
+    """
     rows = input_columns(pages, page_id=page_id, url=url, html=html)
     rows = rows.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     ruled = rows.withColumns({"rule": decided(rules, lambda r: r.name), "ruled": decided(rules, lambda r: r.verdict)})
@@ -134,7 +143,7 @@ def judge(
     for kind, n in totals.items():
         total = F.when(F.col("kind") == kind, F.lit(n)).otherwise(total)
     seeds = counts.select("host", "kind", (F.col("n") / total).alias("share"))
-    scores = spread(host_links(rows), seeds, rounds, damping, TOLERANCE)
+    scores = spread(host_links(rows), seeds, damping, TOLERANCE, rounds)
     # in pages instead of shares, so that trust and distrust of a host can be compared
     mass = scores.select("host", "kind", (F.col("score") * total).alias("mass"))
     hosts = mass.groupBy("host").agg(

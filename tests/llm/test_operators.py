@@ -323,3 +323,11 @@ def test_copies_of_repeated_ids_keep_their_other_texts(spark, monkeypatch, frequ
     rows = [(1, "a b c d e f"), (5, "a b c d e f"), (5, near), (9, near + " w30"), (12, "x y z")]
     found = ngram_join.groups(spark.createDataFrame(rows, "doc_id long, text string"), ngram_join.Measure(words=2, num=70)).collect()
     assert sorted((row.doc_id, row.component_id) for row in found) == [(1, 1), (5, 1), (5, 1), (9, 1), (12, 12)]
+
+
+def test_trust_settles_or_says_so(spark):
+    assert 4 * url_trust.DAMPING ** url_trust.most_rounds(url_trust.DAMPING, url_trust.TOLERANCE) < url_trust.TOLERANCE
+    rows = [(1, "http://bad.com/de/", ""), (2, "http://near.net/", '<a href="//bad.com/de/">'), (3, "http://far.net/", '<a href="//near.net/">')]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    with pytest.raises(RuntimeError, match="still changes"):
+        url_trust.judge(pages, rounds=2)
