@@ -245,46 +245,73 @@ def basket_facts(
     return items.groupBy(F.col("purchase_pk").alias("basket_pk")).agg(*facts)
 
 
-def customer_categories(
-    items: DataFrame, products: DataFrame, purchases: DataFrame, *, small: bool | None = None
+def bought_categories(
+    items: DataFrame, products: DataFrame, purchases: DataFrame, *, by: Sequence[str] = (), small: bool | None = None
 ) -> DataFrame:
-    """n_categories per customer_pk: the distinct category names bought, however many there are.
+    """The distinct category names that each customer_pk bought, also by columns of the purchase if some are named.
 
     Equal pairs are merged by purchase and then by customer, before each shuffle; no set of names is held in a row.
     """
     named = products.select(F.col("product_pk").alias("known_product_pk"), "category_name")
     bought = lookup_join(items, named, "product_pk", "known_product_pk", small=small, spread_by="item_pk")
     bought = bought.filter(F.col("category_name").isNotNull()).select("purchase_pk", "category_name").distinct()
-    pairs = bought.join(purchases.select("purchase_pk", "customer_pk"), "purchase_pk")
-    pairs = pairs.select("customer_pk", "category_name").distinct()
+    pairs = bought.join(purchases.select("purchase_pk", "customer_pk", *by), "purchase_pk")
+    return pairs.select("customer_pk", "category_name", *by).distinct()
+
+
+def customer_categories(
+    items: DataFrame, products: DataFrame, purchases: DataFrame, *, small: bool | None = None
+) -> DataFrame:
+    """n_categories per customer_pk: the distinct category names bought, however many there are."""
+    pairs = bought_categories(items, products, purchases, small=small)
     return pairs.groupBy("customer_pk").agg(F.count(F.lit(1)).alias(CATEGORIES))
 
 
-def customer_measures(inputs: MartInputs, spec: FeatureSpec, today: str, measures: Sequence[str]) -> DataFrame:
-    """The requested measures per customer_pk."""
-    needed = set(measures)
-    by_product = bool(needed & _MARK_MEASURES)
-    with_names = CATEGORIES in needed
+@dataclass(frozen=True)
+class _Sides:
+    """The lookup sides of a run: which are small, and the products if items are looked up."""
+
+    small: SmallSides
+    products: DataFrame | None
+
+
+def _sides(inputs: MartInputs, needed: set[str]) -> _Sides:
+    by_product, with_names = bool(needed & _MARK_MEASURES), CATEGORIES in needed
     small = SmallSides.measure(
         inputs, items=by_product or with_names, cities=bool(needed & _CITIES), names=with_names
     )
-    purchases = rows = latest_purchases(inputs.purchases)
     products = prepare_products(inputs.products, inputs.categories, small.categories) if by_product or with_names else None
+    return _Sides(small, products)
 
+
+def purchase_rows(
+    purchases: DataFrame, items: DataFrame, inputs: MartInputs, spec: FeatureSpec, needed: set[str], sides: _Sides
+) -> DataFrame:
+    """Last versions of purchases with what the measures need: basket facts, payment method, cities."""
+    rows = purchases
+    by_product = bool(needed & _MARK_MEASURES)
     # By purchase first: the last versions are already spread by purchase, so this join moves only the baskets.
     if by_product or needed & _ITEM_COUNTS:
-        marked = products if by_product else None
-        baskets = basket_facts(prepare_items(inputs.items), marked, spec, small=small.products)
+        baskets = basket_facts(items, sides.products if by_product else None, spec, small=sides.small.products)
         rows = rows.join(baskets, F.col("purchase_pk") == F.col("basket_pk"), "left")
     if needed & _PAYMENTS:
         rows = with_payment_method(rows, inputs.payment_methods)
     if needed & _CITIES:
-        rows = _with_cities(rows, inputs, small)
+        rows = _with_cities(rows, inputs, sides.small)
+    return rows
+
+
+def customer_measures(inputs: MartInputs, spec: FeatureSpec, today: str, measures: Sequence[str]) -> DataFrame:
+    """The requested measures per customer_pk."""
+    needed = set(measures)
+    sides = _sides(inputs, needed)
+    purchases, items = latest_purchases(inputs.purchases), prepare_items(inputs.items)
+    rows = purchase_rows(purchases, items, inputs, spec, needed, sides)
     scope = _Scope(spec, today)
     grouped = [F.expr(MEASURES[name](scope)).alias(name) for name in measures if name != CATEGORIES]
     found = rows.groupBy("customer_pk").agg(*grouped) if grouped else None
-    if with_names:
-        counted = customer_categories(prepare_items(inputs.items), products, purchases, small=small.products)
+    if CATEGORIES in needed:
+        counted = customer_categories(items, sides.products, purchases, small=sides.small.products)
         found = counted if found is None else found.join(counted, "customer_pk", "left")
     return found
 
@@ -309,11 +336,25 @@ def feature_matrix(
 ) -> DataFrame:
     """customer_id and the flags as 0/1 integers, one row per customer, customers without purchases included."""
     spec = spec or FeatureSpec()
-    today = "current_date()" if as_of is None else f"date'{as_of:%Y-%m-%d}'"
-    measures = [name for name in (*MEASURES, CATEGORIES) if any(name in FLAGS[flag].needs for flag in flags)]
-    customers = prepare_customers(inputs.customers)
-    if measures:
-        found = customer_measures(inputs, spec, today, measures)
+    today = day_sql(as_of)
+    measures = needed_measures(flags)
+    found = customer_measures(inputs, spec, today, measures) if measures else None
+    return with_flags(prepare_customers(inputs.customers), found, spec, today, flags)
+
+
+def day_sql(as_of: date | None) -> str:
+    return "current_date()" if as_of is None else f"date'{as_of:%Y-%m-%d}'"
+
+
+def needed_measures(flags: Sequence[str]) -> list[str]:
+    return [name for name in (*MEASURES, CATEGORIES) if any(name in FLAGS[flag].needs for flag in flags)]
+
+
+def with_flags(
+    customers: DataFrame, found: DataFrame | None, spec: FeatureSpec, today: str, flags: Sequence[str]
+) -> DataFrame:
+    """customer_id and the flags of prepared customers, from the measures found for their customer_pk."""
+    if found is not None:
         found = found.withColumnRenamed("customer_pk", "buyer_pk")
         customers = customers.join(found, F.col("customer_pk") == F.col("buyer_pk"), "left")
     values = [F.expr(f"if({FLAGS[flag].rule(spec, today)}, 1, 0)").alias(flag) for flag in flags]

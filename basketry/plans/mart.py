@@ -382,10 +382,11 @@ def _purchases(context: MartContext) -> tuple[Rules, Columns]:
 def explode_items(raw_purchases: DataFrame) -> DataFrame:
     """One row per item of each purchase; purchases without items give none.
 
-    Each element is parsed by itself, so a bad one takes no other with it; it comes with empty fields.
+    Each element is parsed by itself, so a bad one takes no other with it; it comes with empty fields. The parsed
+    elements are what is exploded: a filter on their fields then reads a column and parses nothing again.
     """
-    elements = raw_purchases.select("purchase_id", *STAMPS, F.explode(F.from_json("items", "array<string>")).alias("_item"))
-    items = elements.select("purchase_id", *STAMPS, F.from_json("_item", ITEM_EXTRACT).alias("_item"))
+    parsed = F.transform(F.from_json("items", "array<string>"), lambda element: F.from_json(element, ITEM_EXTRACT))
+    items = raw_purchases.select("purchase_id", *STAMPS, F.explode(parsed).alias("_item"))
     items = items.select("purchase_id", *STAMPS, "_item.*")
     empty = F.lit("")
     return items.select(
