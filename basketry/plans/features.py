@@ -268,24 +268,24 @@ def customer_categories(
 
 
 @dataclass(frozen=True)
-class _Sides:
+class LookupSides:
     """The lookup sides of a run: which are small, and the products if items are looked up."""
 
     small: SmallSides
     products: DataFrame | None
 
 
-def _sides(inputs: MartInputs, needed: set[str]) -> _Sides:
+def lookup_sides(inputs: MartInputs, needed: set[str]) -> LookupSides:
     by_product, with_names = bool(needed & _MARK_MEASURES), CATEGORIES in needed
     small = SmallSides.measure(
         inputs, items=by_product or with_names, cities=bool(needed & _CITIES), names=with_names
     )
     products = prepare_products(inputs.products, inputs.categories, small.categories) if by_product or with_names else None
-    return _Sides(small, products)
+    return LookupSides(small, products)
 
 
 def purchase_rows(
-    purchases: DataFrame, items: DataFrame, inputs: MartInputs, spec: FeatureSpec, needed: set[str], sides: _Sides
+    purchases: DataFrame, items: DataFrame, inputs: MartInputs, spec: FeatureSpec, needed: set[str], sides: LookupSides
 ) -> DataFrame:
     """Last versions of purchases with what the measures need: basket facts, payment method, cities."""
     rows = purchases
@@ -304,7 +304,7 @@ def purchase_rows(
 def customer_measures(inputs: MartInputs, spec: FeatureSpec, today: str, measures: Sequence[str]) -> DataFrame:
     """The requested measures per customer_pk."""
     needed = set(measures)
-    sides = _sides(inputs, needed)
+    sides = lookup_sides(inputs, needed)
     purchases, items = latest_purchases(inputs.purchases), prepare_items(inputs.items)
     rows = purchase_rows(purchases, items, inputs, spec, needed, sides)
     scope = _Scope(spec, today)
@@ -346,6 +346,12 @@ def day_sql(as_of: date | None) -> str:
     return "current_date()" if as_of is None else f"date'{as_of:%Y-%m-%d}'"
 
 
+def measure_sql(spec: FeatureSpec, today: str = "current_date()") -> dict[str, str]:
+    """The aggregates over a customer's purchases, in SQL."""
+    scope = _Scope(spec, today)
+    return {name: measure(scope) for name, measure in MEASURES.items()}
+
+
 def needed_measures(flags: Sequence[str]) -> list[str]:
     return [name for name in (*MEASURES, CATEGORIES) if any(name in FLAGS[flag].needs for flag in flags)]
 

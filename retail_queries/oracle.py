@@ -75,11 +75,11 @@ items AS {latest("item_versions", "item_pk", "version DESC, purchase_pk DESC, pr
 """
 
 
-def matrix(spec: FeatureSpec) -> str:
+def matrix(spec: FeatureSpec, day: str = DAY) -> str:
     """CTEs from customers, purchases, products, stores and items to ``matrix``."""
 
     def since(days: int) -> str:
-        return f"CAST(purchase_datetime AS DATE) >= {DAY} - {days}"
+        return f"CAST(purchase_datetime AS DATE) >= {day} - {days}"
 
     def bought(category: str, days: int) -> str:
         return f"SELECT DISTINCT customer_pk FROM bought WHERE category_name = {quoted(category)} AND {since(days)}"
@@ -93,8 +93,8 @@ def matrix(spec: FeatureSpec) -> str:
         "recurrent_buyer": f"SELECT customer_pk FROM purchases WHERE {since(spec.month_days)} GROUP BY 1 "
         f"HAVING count(*) > {spec.recurrent_over}",
         "inactive_14_30": "SELECT customer_pk FROM purchases GROUP BY 1 HAVING "
-        f"max(CAST(purchase_datetime AS DATE)) < {DAY} - {spec.short_days} "
-        f"AND max(CAST(purchase_datetime AS DATE)) >= {DAY} - {spec.month_days}",
+        f"max(CAST(purchase_datetime AS DATE)) < {day} - {spec.short_days} "
+        f"AND max(CAST(purchase_datetime AS DATE)) >= {day} - {spec.month_days}",
         "delivery_user": "SELECT DISTINCT customer_pk FROM purchases WHERE is_delivery",
         "organic_preference": "SELECT DISTINCT customer_pk FROM bought WHERE is_organic",
         "bulk_buyer": f"SELECT customer_pk FROM purchases GROUP BY 1 HAVING avg(total_amount) > {spec.bulk_over}",
@@ -149,7 +149,7 @@ def matrix(spec: FeatureSpec) -> str:
     columns = []
     for flag in FLAG_NAMES:
         if flag == "new_customer":
-            condition = f"reg_date >= {DAY} - {spec.month_days}"
+            condition = f"reg_date >= {day} - {spec.month_days}"
         elif flag in inverse:
             condition = f"one_{inverse[flag]}.customer_pk IS NULL"
         else:

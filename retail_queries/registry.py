@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from dataclasses import replace
+from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,7 @@ from basketry.operators import (
 )
 from basketry.operators.quality import REASONS, with_reasons
 from basketry.operators.versioned import MART_DAYS, RAW_DAYS
+from basketry.plans.daily import DayStore
 from basketry.plans.features import FLAG_NAMES, FeatureSpec, duplicate_customers, feature_matrix
 from basketry.plans.mart import DETAILS, DIMENSIONS, MART_KEYS, MartContext, mart_rejects, mart_table
 from basketry.plans.pipeline import documents_to_raw, mart_reader, raw_to_mart
@@ -602,10 +605,50 @@ def _matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_matrix(mart_inputs(spark, sf_dir), AS_OF, SPEC)
 
 
-@query("feature_matrix_large_catalogue", sql.with_mart("SELECT * FROM matrix", sql.matrix(SPEC)))
+# A catalogue in which nearly every product has a category of its own.
+
+LARGE_SPEC = replace(SPEC, varied_categories=30, milk_category="red plate", fruit_category="cold ring")
+LARGE_MART = sql.MART.replace(
+    "CASE WHEN p_type = 'PROMO' THEN 'Без категории' ELSE lower(p_type) END",
+    "CASE WHEN p_size % 5 = 0 THEN lower(p_name) ELSE concat_ws(' ', p_name, p_brand, p_partkey) END",
+)
+
+
+@query("feature_matrix_large_catalogue", f"WITH {LARGE_MART}, {sql.matrix(LARGE_SPEC)} SELECT * FROM matrix")
 def _matrix_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalogue of any size takes the same way."""
-    return feature_matrix(mart_inputs(spark, sf_dir), AS_OF, SPEC)
+    inputs = mart_inputs(spark, sf_dir)
+    name = F.expr("if(p_size % 5 = 0, lower(p_name), concat_ws(' ', p_name, p_brand, p_partkey))")
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_pk"), name.alias("category_id"))
+    products = inputs.products.drop("category_id").join(part, "product_pk")
+    categories = part.select("category_id", F.col("category_id").alias("category_name"), F.lit(1).cast("long").alias("version"))
+    return feature_matrix(replace(inputs, products=products, categories=categories.distinct()), AS_OF, LARGE_SPEC)
+
+
+BY_DAY = (date(2001, 8, 1), date(2001, 7, 15), date(2001, 6, 1))
+DAILY_SPEC = replace(SPEC, week_days=30, short_days=45, month_days=60, quarter_days=120, recurrent_over=0)
+
+
+@query(
+    "feature_matrix_by_day",
+    sql.with_mart(
+        " UNION ALL ".join(
+            f"SELECT '{day}' AS as_of, * FROM (WITH {sql.matrix(DAILY_SPEC, f"date '{day}'")} SELECT * FROM matrix)" for day in BY_DAY
+        )
+    ),
+)
+def _matrix_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store built of the purchases up to June, refreshed with July and with the first of August, asked for three days."""
+    inputs = mart_inputs(spark, sf_dir)
+    store = DayStore(spark, work_dir(spark, "days"), DAILY_SPEC)
+    store.build(replace(inputs, purchases=inputs.purchases.filter("purchase_datetime < '2001-07-01'")), date(2001, 1, 1))
+    store.refresh(inputs, date(2001, 7, 1), date(2001, 7, 31))
+    store.roll_up(date(2001, 2, 1))
+    store.refresh(inputs, date(2001, 8, 1), date(2001, 8, 1))
+    matrices = [
+        store.matrix(inputs.customers, day).select(F.lit(str(day)).alias("as_of"), "*") for day in BY_DAY
+    ]
+    return reduce(DataFrame.unionByName, matrices)
 
 
 @query(
