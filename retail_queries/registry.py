@@ -57,6 +57,7 @@ from basketry.sources.documents import read_documents
 from basketry.sources.export import export_csv
 from basketry.sources.tables import PROJECTIONS, normalize_unsigned, project_mart, read_by_month, write_by_month
 from basketry.sources.topics import publish, subscribe_folder, write_topic_folder
+from basketry.streaming.current import current_mart, mart_changes
 from basketry.streaming.ingest import REJECTS, drop_replays, ingest_stream, raw_streams, route
 from basketry.streaming.marts import live_mart_reader, mart_stream
 from retail_queries import oracle as sql
@@ -748,6 +749,36 @@ def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(F.col("name").alias("target"), F.col("total_documents").alias("n"))
 
 
+LAST_PURCHASES = sql.latest(
+    "(" + sql.stamped(sql.detail_rows("purchases_details")) + ")",
+    "purchase_pk",
+    "version DESC, purchase_id DESC, customer_pk DESC, store_pk DESC, delivery_address_id DESC, total_amount DESC, "
+    "payment_method_id DESC, is_delivery DESC, purchase_datetime DESC, load_date DESC",
+    "* EXCLUDE (rn)",
+)
+
+
+@query(
+    "mart_by_state",
+    sql.with_raw(
+        f"SELECT * FROM {LAST_PURCHASES} WHERE load_date > "
+        f"(SELECT strftime(max(CAST(load_date AS TIMESTAMP)) - INTERVAL {MART_DAYS} DAY, '%Y-%m-%d %H:%M:%S') FROM {LAST_PURCHASES})"
+    ),
+)
+def _by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart stream's purchases through keyed state, delivered twice: the last version of each that has not expired."""
+    work = work_dir(spark, "mart-by-state")
+    raw = documents_to_raw({"purchases": documents(spark, sf_dir)["purchases"]})["raw_purchases"]
+    for _ in range(2):
+        write_by_month(raw, f"{work}/raw/raw_purchases")
+        source = raw_streams(spark, f"{work}/raw", {"raw_purchases": RAW_SCHEMAS["raw_purchases"]})["raw_purchases"]
+        mart_stream(source, "raw_purchases", f"{work}/mart", f"{work}/checkpoint", CONTEXT).awaitTermination()
+        mart_changes(
+            spark, f"{work}/mart", "purchases_details", f"{work}/changes", f"{work}/checkpoint/changes"
+        ).awaitTermination()
+    return plain(current_mart(spark, "purchases_details", f"{work}/changes"))
+
+
 @query("stream_drop_replays", "SELECT event_id, user_id, event_type FROM events")
 def _replays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event delivered twice; each is kept once."""
