@@ -55,6 +55,7 @@ from basketry.schemas import RAW_SCHEMAS
 from basketry.session import apply_settings, shared_dir
 from basketry.sources.documents import read_documents
 from basketry.sources.export import export_csv
+from basketry.sources.retention import expire_stored
 from basketry.sources.tables import PROJECTIONS, normalize_unsigned, project_mart, read_by_month, write_by_month
 from basketry.sources.topics import publish, subscribe_folder, write_topic_folder
 from basketry.streaming.current import current_mart, mart_changes
@@ -177,6 +178,21 @@ def _by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_by_month(spark, path, since="200006").drop("o_orderdate")
 
 
+@query(
+    "expire_stored",
+    f"SELECT o_orderkey, {sql.text('o_orderdate')} AS o_orderdate, strftime(o_orderdate, '%Y%m') AS load_month FROM orders "
+    f"WHERE o_orderdate > {sql.NOW} - INTERVAL {MART_DAYS} DAY",
+)
+def _expire_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table by month whose old months are dropped and whose border month is rewritten; a second run finds nothing."""
+    path = work_dir(spark, "orders-to-expire")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    write_by_month(orders, path, mode="overwrite", ts="o_orderdate")
+    for _ in range(2):
+        expire_stored(spark, path, MART_DAYS, AS_OF, ts="o_orderdate")
+    return plain(read_by_month(spark, path))
+
+
 @query(
     "quality_gate",
     "SELECT c_custkey, array_to_string(list_filter([CASE WHEN c_mktsegment IN ('', 'BUILDING') THEN "
