@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.pii import SENSITIVE_TOPICS, mask_pii, stamp
+from basketry.functions.variant import MOST_DEPTH, mask_variant, parse_variant, stamped_variant
 
 MESSAGE = "topic string, value string"
 
@@ -25,6 +26,37 @@ def publish(
     return stamped.select(F.lit(topic).alias("topic"), F.to_json(F.struct("*")).alias("value"))
 
 
+def publish_texts(
+    texts: DataFrame,
+    topic: str,
+    load_ts: Column | None = None,
+    sensitive: Sequence[str] = SENSITIVE_TOPICS,
+    depth: int = MOST_DEPTH,
+) -> DataFrame:
+    """Documents that are JSON text (column ``value``) as messages, with every field they have, known or not.
+
+    What ``publish`` does to documents of a schema, at any depth up to ``depth``. A text that is no JSON object, or is
+    nested deeper, becomes a message without a value that ``unpublished`` finds; nothing of it is sent unmasked.
+    """
+    sent = F.current_timestamp() if load_ts is None else load_ts
+    document = stamped_variant(parse_variant(F.col("value"), depth), sent)
+    if topic in sensitive:
+        document = mask_variant(document, depth=depth)
+    message = texts.select(F.lit(topic).alias("topic"), F.col("value").alias("_text"), F.to_json(document).alias("value"))
+    return message.select("topic", "value", F.when(F.col("value").isNull(), F.col("_text")).alias("unreadable"))
+
+
+def published(messages: DataFrame) -> DataFrame:
+    """The messages of ``publish_texts`` that can be sent."""
+    return messages.filter("value IS NOT NULL").select("topic", "value")
+
+
+def unpublished(messages: DataFrame) -> DataFrame:
+    """The texts that ``publish_texts`` could make no message of, as the reject table of a topic keeps them."""
+    bad = messages.filter("value IS NULL")
+    return bad.select("topic", F.col("unreadable").alias("value"), F.lit("no JSON object, or too deep").alias("reason"))
+
+
 def write_topic_folder(messages: DataFrame, path: str, mode: str = "append") -> None:
     """Append messages to a topic kept as JSON files."""
     messages.select("topic", "value").write.mode(mode).json(path)

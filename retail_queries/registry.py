@@ -57,7 +57,14 @@ from basketry.sources.documents import read_documents
 from basketry.sources.export import export_csv
 from basketry.sources.retention import expire_stored
 from basketry.sources.tables import PROJECTIONS, normalize_unsigned, project_mart, read_by_month, write_by_month
-from basketry.sources.topics import publish, subscribe_folder, write_topic_folder
+from basketry.sources.topics import (
+    publish,
+    publish_texts,
+    published,
+    subscribe_folder,
+    unpublished,
+    write_topic_folder,
+)
 from basketry.streaming.current import current_mart, mart_changes
 from basketry.streaming.ingest import REJECTS, drop_replays, ingest_stream, raw_streams, route
 from basketry.streaming.marts import live_mart_reader, mart_stream
@@ -488,6 +495,45 @@ def _publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.unionByName(stores)
 
 
+@query(
+    "publish_unknown_fields",
+    "SELECT c_custkey, lower(c_name) AS id, sha256('+7' || c_custkey || '1') AS phone, sha256('+7' || c_custkey || '2') AS other, "
+    "sha256(lower(c_name)) AS email, c_mktsegment AS note, '{\"deep\":[[{\"n\":' || c_nationkey || '}],null]}' AS rest, "
+    "CASE WHEN c_nationkey % 2 = 0 THEN sha256('7900' || c_custkey) ELSE '' END AS whole, "
+    "'2001-08-01T00:00:00.000000' AS sent FROM customer WHERE c_nationkey <> 3 "
+    "UNION ALL SELECT NULL, '', '', '', '', '', '{\"unreadable\": ' || c_name, '', '' FROM customer WHERE c_nationkey = 3",
+)
+def _publish_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as text with fields that no schema names: phones and e-mails masked at any depth, the rest unchanged."""
+    documents_ = table(spark, sf_dir, "customer").selectExpr(
+        "if(c_nationkey = 3, concat('{\"unreadable\": ', c_name), to_json(named_struct('_id', c_name, 'key', c_custkey, "
+        "'extra', named_struct('Contact Phones', array(concat('8-', c_custkey, '-1'), concat('+7', c_custkey, '2')), "
+        "'people', array(named_struct('WorkEmail', concat(' ', c_name, ' '), 'note', c_mktsegment)), "
+        "'rest', named_struct('deep', array(array(named_struct('n', c_nationkey)), NULL)), "
+        "'home_phone', if(c_nationkey % 2 = 0, cast(concat('7900', c_custkey) AS bigint), 0L))), "
+        "map('ignoreNullFields', 'false'))) AS value"
+    )
+    messages = publish_texts(documents_, "customers", F.lit("2001-08-01").cast("timestamp"))
+
+    def field(path: str) -> F.Column:
+        return F.get_json_object("value", path)
+
+    sent = published(messages).select(
+        field("$.key").cast("bigint").alias("c_custkey"),
+        field("$._id").alias("id"),
+        field("$.extra['Contact Phones'][0]").alias("phone"),
+        field("$.extra['Contact Phones'][1]").alias("other"),
+        field("$.extra.people[0].WorkEmail").alias("email"),
+        field("$.extra.people[0].note").alias("note"),
+        field("$.extra.rest").alias("rest"),
+        F.regexp_replace(field("$.extra.home_phone"), "^0$", "").alias("whole"),
+        field("$.kafka_send_date").alias("sent"),
+    )
+    none = {name: F.lit("") for name in ("id", "phone", "other", "email", "note", "whole", "sent")}
+    lost = unpublished(messages).withColumns({**none, "c_custkey": F.lit(None).cast("bigint"), "rest": F.col("value")})
+    return sent.unionByName(lost.select(*sent.columns))
+
+
 ROUTED = " UNION ALL ".join(
     f"SELECT '{name}' AS target, '' AS reason, count(*) AS n FROM {name}" for name in sql.RAW_OUTPUT
 ) + (
