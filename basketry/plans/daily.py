@@ -223,7 +223,7 @@ class DayStore:
         if few:
             # of the items, those of the purchases at hand, before their versions are compared
             items = items.join(inputs.purchases.select("purchase_pk").distinct(), "purchase_pk", "left_semi")
-        items = prepare_items(items)
+        items = prepare_items(items, inputs.item_keys)
         rows = purchase_rows(purchases, items, inputs, self.spec, needed, sides).filter("customer_pk IS NOT NULL")
         measured = measure_sql(self.spec)
         kept = [F.expr(made.format(fruit=_bit("fruit"))).alias(name) for name, (made, _) in KEPT.items()]

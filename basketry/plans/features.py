@@ -305,7 +305,7 @@ def customer_measures(inputs: MartInputs, spec: FeatureSpec, today: str, measure
     """The requested measures per customer_pk."""
     needed = set(measures)
     sides = lookup_sides(inputs, needed)
-    purchases, items = latest_purchases(inputs.purchases), prepare_items(inputs.items)
+    purchases, items = latest_purchases(inputs.purchases), prepare_items(inputs.items, inputs.item_keys)
     rows = purchase_rows(purchases, items, inputs, spec, needed, sides)
     scope = _Scope(spec, today)
     grouped = [F.expr(MEASURES[name](scope)).alias(name) for name in measures if name != CATEGORIES]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,8 @@ class MartInputs:
     payment_methods: DataFrame
     categories: DataFrame
     addresses: DataFrame
+    #: what tells items apart; with the purchase in it, items kept by purchase need no shuffle for their last version
+    item_keys: tuple[str, ...] = ("item_pk",)
 
     @classmethod
     def read(cls, reader: Reader) -> MartInputs:
@@ -201,7 +204,7 @@ def prepare_stores(stores: DataFrame, addresses: DataFrame, small: bool | None =
     )
 
 
-def prepare_items(items: DataFrame) -> DataFrame:
-    return latest_version(items, ["item_pk"]).select(
+def prepare_items(items: DataFrame, keys: Sequence[str] = ("item_pk",)) -> DataFrame:
+    return latest_version(items, keys).select(
         "item_pk", "purchase_pk", "product_pk", "quantity", "total_price"
     )

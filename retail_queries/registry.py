@@ -53,6 +53,7 @@ from basketry.plans.prepare import (
 )
 from basketry.schemas import RAW_SCHEMAS
 from basketry.session import apply_settings, shared_dir
+from basketry.sources.bucketed import by_purchase, write_buckets
 from basketry.sources.documents import read_documents
 from basketry.sources.export import export_csv
 from basketry.sources.retention import expire_stored
@@ -668,6 +669,17 @@ def _matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_matrix(mart_inputs(spark, sf_dir), AS_OF, SPEC)
 
 
+@query("feature_matrix_bucketed", sql.with_mart("SELECT * FROM matrix", sql.matrix(SPEC)))
+def _matrix_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases and items written in buckets of the purchase, then read without a shuffle up to the customers."""
+    inputs, mark = mart_inputs(spark, sf_dir), uuid.uuid4().hex
+    tables = [
+        write_buckets(df, f"{name}_{mark}", work_dir(spark, name), "purchase_pk", 8)
+        for name, df in (("purchases", inputs.purchases), ("items", inputs.items))
+    ]
+    return feature_matrix(by_purchase(inputs, *tables), AS_OF, SPEC)
+
+
 # A catalogue in which nearly every product has a category of its own.
 
 LARGE_SPEC = replace(SPEC, varied_categories=30, milk_category="red plate", fruit_category="cold ring")
