@@ -79,6 +79,21 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.
     return df.mapInArrow(run, schema)
 
 
+def on_texts(fn: Callable[[pa.Array], pa.Array], dtype: str, rows: int) -> Callable[[F.Column], F.Column]:
+    """A column computed from one column of texts, ``rows`` of them at a time. Only the texts go to Python; the rows
+    they stand in stay where they are."""
+
+    @F.arrow_udf(dtype)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = [fn(batch.slice(at, rows)) for at in range(0, max(1, len(batch)), rows)]
+            yield pa.concat_arrays(parts)
+        batch = parts = None
+        give_back()
+
+    return run.asNondeterministic()
+
+
 _HELD: dict = {}
 
 

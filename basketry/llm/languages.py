@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import TokenTable, held_out, input_columns, let_go, of_worker, per_batch, ship, table
+from basketry.llm.common import TokenTable, held_out, input_columns, let_go, of_worker, on_texts, per_batch, ship, table
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 2000
@@ -296,15 +296,14 @@ def keep_identified(docs: DataFrame, model: LanguageModel | None, text: str = "t
     """The rows of ``docs`` whose text has a language, at this share of its letters at least."""
     names = docs.columns
     boxed = docs.select(F.struct(*(docs[f"`{n}`"] for n in names)).alias("_row"))
-    place = names.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model) if model else None
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = _labels(shared, batch.column("_row").field(place))
-        keep = [label != UNKNOWN and score >= least_score for label, score, _ in found]
-        return batch.filter(pa.array(keep, pa.bool_()))
+    def identified(texts: pa.Array) -> pa.Array:
+        return pa.array([label != UNKNOWN and score >= least_score for label, score, _ in _labels(shared, texts)], pa.bool_())
 
-    kept = per_batch(boxed, run, boxed.schema, TEXTS)
+    ship(docs.sparkSession)
+    keep = on_texts(identified, "boolean", TEXTS)
+    kept = boxed.filter(keep(F.col("_row").getField(text).cast("string")))
     return kept.select(*(F.col("_row").getField(n).alias(n) for n in names))
 
 

@@ -30,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.common import TokenTable, input_columns, of_worker, per_batch, ship, table, texts_of, utf8, written
@@ -402,20 +402,21 @@ def groups(docs: DataFrame, measure: Measure = Measure(), doc_id: str = "doc_id"
 
 
 def keep_one(docs: DataFrame, measure: Measure = Measure(words=5, num=80), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with one document of each group: the one of the smallest id."""
+    """The rows of ``docs`` with one document of each group: the one of the smallest id.
+
+    Of rows that repeat an id the one of the smallest text stays.
+    """
+    names = docs.columns
     found = written(groups(docs, measure, doc_id, text), "groups").filter(F.col("doc_id").isNotNull())
-    roles = found.groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count("*").alias("rows"))
-    going = roles.filter("c <> doc_id").select("doc_id")
-    repeated = roles.filter("c = doc_id and rows > 1").select("doc_id")
-    key = docs[f"`{doc_id}`"].cast("long")
-    kept = docs.join(going.withColumnRenamed("doc_id", "_going"), key == F.col("_going"), "left_anti")
-    if repeated.isEmpty():
-        return kept
-    twice = repeated.withColumnRenamed("doc_id", "_twice")
-    key = kept[f"`{doc_id}`"].cast("long")
-    once = kept.join(twice, key == F.col("_twice"), "left_anti")
-    again = kept.join(twice, key == F.col("_twice"), "left_semi").dropDuplicates([doc_id])
-    return once.unionByName(again)
+    roles = found.groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("c"), F.count("*").alias("rows"))
+    boxed = docs.select(docs[f"`{doc_id}`"].cast("long").alias("key"), F.struct(*(docs[f"`{n}`"] for n in names)).alias("row"))
+    kept = boxed.join(roles.filter("c <> key").select("key"), "key", "left_anti")
+    twice = roles.filter("c = key and rows > 1").select("key")
+    if not twice.isEmpty():
+        first = Window.partitionBy("key").orderBy(F.col("row").getField(text).asc_nulls_first())
+        again = kept.join(twice, "key", "left_semi").withColumn("place", F.row_number().over(first)).filter("place = 1")
+        kept = kept.join(twice, "key", "left_anti").unionByName(again.drop("place"))
+    return kept.select(*(F.col("row").getField(n).alias(n) for n in names))
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import TokenTable, held_out, input_columns, of_worker, per_batch, ship, table, texts_of, utf8, written
+from basketry.llm.common import TokenTable, held_out, input_columns, of_worker, on_texts, per_batch, ship, table, texts_of, utf8, written
 
 SAMPLE_ROWS = 4000
 LEXICON_SIZE = 5000
@@ -209,13 +210,14 @@ class ToxicityModel:
         names = [name for name in df.columns if name != "body"]
         if self.trees is None:
             return df.select(*names, F.lit(self.prior).alias("score"))
-        raw = self._raw(df, names)
-        return self.calibration.transform(raw).select(*names, F.greatest(F.lit(0.0), F.least(F.lit(1.0), "_p")).alias("score"))
+        return self.score_features(with_features(df, self.shared))
 
-    def _raw(self, df: DataFrame, names: list[str]) -> DataFrame:
-        vectors = with_features(df, self.shared).select(*names, array_to_vector("features").alias("_x"))
-        scored = self.trees.transform(vectors)
-        return scored.select(*names, vector_to_array("rawPrediction")[1].alias("_margin"))
+    def score_features(self, df: DataFrame) -> DataFrame:
+        """Replace ``features`` by ``score``; the other columns stay."""
+        names = [name for name in df.columns if name != "features"]
+        scored = self.trees.transform(df.select(*names, array_to_vector("features").alias("_x")))
+        raw = scored.select(*names, vector_to_array("rawPrediction")[1].alias("_margin"))
+        return self.calibration.transform(raw).select(*names, F.greatest(F.lit(0.0), F.least(F.lit(1.0), "_p")).alias("score"))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, rows_per_class: int) -> DataFrame:
@@ -280,8 +282,15 @@ def score_texts(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", t
 def keep_clean(docs: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below the threshold."""
     names = docs.columns
-    boxed = docs.select(utf8(f"`{text}`").alias("body"), F.struct(*(docs[f"`{n}`"] for n in names)).alias("_row"))
-    kept = model.score(boxed).filter(F.col("score") < threshold)
+    boxed = docs.select(F.struct(*(docs[f"`{n}`"] for n in names)).alias("_row"))
+    if model.trees is None:
+        scored = boxed.withColumn("score", F.lit(model.prior))
+    else:
+        ship(docs.sparkSession)
+        features = on_texts(partial(_features, model.shared), "array<double>", TEXTS)
+        body = F.coalesce(F.col("_row").getField(text).cast("binary"), F.lit(b""))
+        scored = model.score_features(boxed.withColumn("features", features(body)))
+    kept = scored.filter(F.col("score") < threshold)
     return kept.select(*(F.col("_row").getField(n).alias(n) for n in names))
 
 
