@@ -82,12 +82,21 @@ def dataset_stats(spark: SparkSession, tables: Mapping[str, DataFrame | Callable
     return reduce(DataFrame.unionByName, parts)
 
 
-def sample_documents(tables: Mapping[str, DataFrame], n: int = 3) -> DataFrame:
-    """A few documents of each table as JSON, for a look at the data."""
-    parts = [
-        df.limit(n).select(F.lit(name).alias("name"), F.to_json(F.struct("*")).alias("document"))
-        for name, df in tables.items()
-    ]
+def sample_documents(
+    tables: Mapping[str, DataFrame], n: int = 3, keys: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """A few documents of each table as JSON, for a look at the data: those whose ``keys`` have the smallest hashes.
+
+    The same documents however the table is partitioned or ordered. Each task keeps its ``n`` smallest, so only these
+    are sent anywhere. Tables without named keys are taken by the whole document.
+    """
+    parts = []
+    for name, df in tables.items():
+        document = F.to_json(F.struct("*"))
+        columns = (keys or {}).get(name)
+        key = document if columns is None else F.concat_ws("\u0001", *(F.col(c).cast("string") for c in columns))
+        rows = df.select(F.md5(key.cast("binary")).alias("_hash"), document.alias("document"))
+        parts.append(rows.orderBy("_hash", "document").limit(n).select(F.lit(name).alias("name"), "document"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -289,9 +289,25 @@ def _layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset_stats(spark, documents_to_raw(documents(spark, sf_dir))).drop("error")
 
 
-@query("sample_documents")
+SAMPLED = {
+    "products": ("id", "concat('PRD-', lpad(p_partkey::VARCHAR, 7, '0'))", "part"),
+    "customers": ("customer_id", "upper(c_name)", "customer"),
+    "stores": ("store_id", "s_name", "supplier"),
+    "purchases": ("purchase_id", "concat('ORD-', l_orderkey, '-', l_linenumber)", "lineitem JOIN orders ON l_orderkey = o_orderkey"),
+}
+
+
+@query(
+    "sample_documents",
+    " UNION ALL ".join(
+        f"(SELECT '{name}' AS name, k AS key FROM (SELECT {key} AS k FROM {rows}) ORDER BY md5(k) LIMIT 3)"
+        for name, (_, key, rows) in SAMPLED.items()
+    ),
+)
 def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_documents(documents(spark, sf_dir), 3)
+    samples = sample_documents(documents(spark, sf_dir), 3, {name: [column] for name, (column, _, _) in SAMPLED.items()})
+    key = F.coalesce(*(F.get_json_object("document", f"$.{column}") for column, _, _ in SAMPLED.values()))
+    return samples.select("name", key.alias("key"))
 
 
 # Cleaning expressions.

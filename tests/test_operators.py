@@ -150,3 +150,15 @@ def test_spread(spark):
     assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(100).repartition(9)
     assert spread(many, "id") is many
+
+
+def test_sample_does_not_depend_on_the_partitions(spark):
+    df = spark.range(500).selectExpr("id", "id % 7 AS part", "if(id = 3, NULL, 'x') AS text")
+    wanted = None
+    for some in (df.coalesce(1), df.repartition(7, "part"), df.orderBy(F.desc("id"))):
+        found = sorted(tuple(row) for row in sample_documents({"a": some, "b": some.limit(0)}, 5, {"a": ["id", "text"]}).collect())
+        assert len(found) == 5 and {row[0] for row in found} == {"a"}
+        assert wanted in (None, found)
+        wanted = found
+    plan = sample_documents({"a": df}, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
