@@ -18,6 +18,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Alternates the large-star and small-star steps of Kiveris et al. until nothing changes. Each step takes minima per
     id, combined before the shuffle, and joins them back; a hub's rows are split by the skew handling of that join.
+    It is an error if that has not come to rest after ``most_rounds``.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     edges = written(edges, "edges")
@@ -37,6 +38,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components still change after {most_rounds} rounds; allow more")
     labels = edges.groupBy("u").agg(F.min("v").alias("component"))
     roots = edges.select(F.col("v").alias("u")).distinct().withColumn("component", F.col("u"))
     return labels.unionByName(roots).groupBy("u").agg(F.min("component").alias("component")).withColumnRenamed("u", "id")

@@ -96,7 +96,7 @@ def spread(links: DataFrame, seeds: DataFrame, damping: float, tolerance: float,
         edges.join(degree, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("all")).alias("weight")), "trust-edges"
     )
     scores = seeds.select("kind", "host", F.col("share").alias("score"))
-    if edges.isEmpty():
+    if seeds.isEmpty() or edges.isEmpty():
         return scores
     for _ in range(most_rounds(damping, tolerance) if rounds is None else rounds):
         moved = scores.join(edges, ["kind", "host"]).select(
