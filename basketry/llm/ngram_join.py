@@ -5,15 +5,15 @@ more share at least ``l`` of their first ``n - ceil(t n) + l`` n-grams, whatever
 These first n-grams, the head of a set, are all that is compared before candidates are known.
 
 1. Equal sets are one node. Heads are exploded; n-grams in only one head are dropped by count.
-2. Every set is compared with the one other set it shares most head n-grams with among the smallest ids of these
-   n-grams. That links nearly all copies to their group in one verified comparison each.
-3. Pairs in different groups are searched for without loss. N-grams in at most ``FREQUENT`` heads are joined with
-   themselves, and a pair has to share as many as the bound asks for. Sets with so many frequent n-grams that a pair
-   could share these alone are compared in blocks by prefix trees; only sets with enough frequent n-grams that stand in
-   more than one group take part, and sets that a task has joined are not compared again.
-4. Candidates are verified with whole sets: the candidates of a set, in blocks of bounded number, form a prefix tree
-   that the set is run through. Partial overlaps are shared along common branches, and a branch is left as soon as the
-   elements that remain on it and in the probe can't reach the overlap asked for.
+2. Every set goes to a shard with the one other set it shares most head n-grams with among the smallest ids of these
+   n-grams. Walks of the shard's prefix trees link nearly all copies to their group.
+3. Only n-grams that stand in sets of more than one group go on, as sets of different groups share no others. Those in
+   at most ``FREQUENT`` heads bring together the sets that may still be linked, if their heads can share what the bound
+   asks for. Sets with so many frequent n-grams that a pair could share these
+   alone are compared in blocks; sets that a task has joined are not compared again.
+4. Links are found by prefix trees of whole sets, ``PrefixTree``: elements stand in the order of falling frequency among
+   the sets of a tree, sets that begin alike share their nodes, a walk carries the overlap of a branch for all its sets,
+   and leaves a branch as soon as the elements that remain on it and in the probe can't reach the overlap asked for.
 
 ``FREQUENT``, the sizes of blocks and filters, and ``l`` change the work and never the result. N-grams count as equal
 if their 64-bit hashes are; within a pair of sets a chance match is less likely than 1 in 10^12.
@@ -45,8 +45,6 @@ BLOCK_SETS = 512
 FILTER_BITS = 1 << 26
 #: texts whose sets a worker holds at a time
 TEXTS = 256
-#: elements of a branch compared at a time
-STEP = 32
 
 
 @dataclass(frozen=True)
@@ -69,6 +67,19 @@ class Measure:
         """The ``l`` of a set."""
         return 1 + n // 20
 
+    def least_slack(self) -> str:
+        """SQL of the slack of a set's smallest partner."""
+        return f"1 + int(ceil({self.num} * n / {self.den}) div 20)"
+
+    def shared_heads(self) -> str:
+        """SQL of the least number of elements that the heads of similar sets of ``n`` and ``n2`` elements share.
+
+        All that both sets hold up to the end of the head that ends first is in both heads; what follows adds at most
+        the rest of its set.
+        """
+        rest = ", ".join(f"int(ceil({self.num} * {x} / {self.den})) - 1 - {x} div 20" for x in ("n", "n2"))
+        return f"int(ceil({self.num} * (n + n2) / {self.num + self.den})) - greatest({rest})"
+
     def head(self, n: int) -> int:
         return n - self.least_partner(n) + self.slack(n) if n else 0
 
@@ -106,65 +117,93 @@ def shingler(words: int) -> Shingler:
 
 
 class PrefixTree:
-    """Ordered sets as a tree of pieces of ``STEP`` elements; sets that begin alike share their branch.
+    """Sets as a prefix tree: elements in the order of falling frequency, so that sets which share much begin alike.
 
-    A probe goes down level by level: the overlap of a branch is its parent's and that of its own piece, and branches
-    of which no set can reach the overlap asked for are left.
+    A node holds the elements up to the next place where its sets part or one of them ends; each element is stored once
+    for all sets below it (``stored`` of ``given``). A probe goes down from the root and carries the overlap it has so
+    far, for all sets of a branch at once. A subtree is left as soon as the elements that remain, in it or in the
+    probe, can't reach the overlap asked for, or if it holds no set that is wanted.
     """
 
     def __init__(self, sets: list[np.ndarray]):
         self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        self.levels = []
-        node_of = np.zeros(len(sets), np.int64)
-        left, start = np.flatnonzero(self.sizes), 0
-        while len(left):
-            numbers: dict[tuple[int, bytes], int] = {}
-            for i in left.tolist():
-                key = (int(node_of[i]), sets[i][start : start + STEP].tobytes())
-                node_of[i] = numbers.setdefault(key, len(numbers))
-            nodes = node_of[left]
-            elements = np.zeros((len(numbers), STEP), np.uint64)
-            length = np.zeros(len(numbers), np.int64)
-            for k, (_, piece) in enumerate(numbers):
-                length[k] = len(piece) // 8
-                elements[k, : length[k]] = np.frombuffer(piece, np.uint64)
-            least, most = np.full(len(numbers), np.iinfo(np.int64).max), np.zeros(len(numbers), np.int64)
-            np.minimum.at(least, nodes, self.sizes[left])
-            np.maximum.at(most, nodes, self.sizes[left])
-            parent = np.fromiter((key[0] for key in numbers), np.int64, len(numbers))
-            self.levels.append((start, left, nodes, parent, elements, length, least, most))
-            start += STEP
-            left = left[self.sizes[left] > start]
+        self.given = int(self.sizes.sum())
+        joined = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        self.values, place, counts = np.unique(joined, return_inverse=True, return_counts=True)
+        rank_of = np.empty(len(counts), np.int64)
+        rank_of[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
+        self.rank_of = rank_of
+        ranked = [np.sort(part) for part in np.split(rank_of[place], np.cumsum(self.sizes)[:-1])] if sets else []
+        # sets of one subtree stand side by side in the order of their elements
+        order = sorted((i for i in range(len(sets)) if len(ranked[i])), key=lambda i: ranked[i].astype(">u4").tobytes())
+        self.order = np.array(order, np.int64)
+        ranked = [ranked[i] for i in order]
+        self.nodes: list[tuple] = []
+        self.children: list[list[int]] = []
+        self.stored = 0
+        self.top = self._branches(ranked, 0, len(ranked), 0, self._alike(ranked))
+
+    @staticmethod
+    def _alike(ranked: list[np.ndarray]) -> np.ndarray:
+        """How many first elements each set has in common with the next."""
+        out = np.zeros(max(0, len(ranked) - 1), np.int64)
+        for i in range(len(out)):
+            size = min(len(ranked[i]), len(ranked[i + 1]))
+            differs = ranked[i][:size] != ranked[i + 1][:size]
+            out[i] = differs.argmax() if differs.any() else size
+        return out
+
+    def _branches(self, ranked: list[np.ndarray], first: int, last: int, depth: int, alike: np.ndarray) -> list[int]:
+        """Nodes below ``depth`` of the sets from ``first`` up to ``last``; returns the uppermost ones."""
+        tops: list[int] = []
+        todo = [(first, last, depth, tops)]
+        while todo:
+            lo, hi, at, siblings = todo.pop()
+            # cuts between sets that part here
+            cuts = [lo, *(lo + 1 + np.flatnonzero(alike[lo : hi - 1] <= at)).tolist(), hi]
+            for x, y in zip(cuts, cuts[1:]):
+                if x == y:
+                    continue
+                end = int(alike[x : y - 1].min()) if y - x > 1 else len(ranked[x])
+                done = x
+                while done < y and len(ranked[done]) == end:
+                    done += 1
+                sizes = self.sizes[self.order[x:y]]
+                run = ranked[x][at:end]
+                self.stored += len(run)
+                siblings.append(len(self.nodes))
+                below: list[int] = []
+                self.nodes.append((run, end, x, done, y, int(sizes.min()), int(sizes.max())))
+                self.children.append(below)
+                if done < y:
+                    todo.append((done, y, end, below))
+        return tops
 
     def search(self, probe: np.ndarray, measure: Measure, wanted: np.ndarray | None = None) -> np.ndarray:
         """Numbers of the sets that are similar to the probe; of those ``wanted`` only, if given."""
         n, found = len(probe), []
-        alive, overlap = np.ones(1, bool), np.zeros(1, np.int64)
-        for start, sets, nodes, parent, elements, length, least, most in self.levels:
-            here = alive[parent]
-            if wanted is not None:
-                holds = np.zeros(len(parent), bool)
-                holds[nodes[wanted[sets]]] = True
-                here &= holds
-            at = np.flatnonzero(here)
-            if not len(at):
-                break
-            piece, size = elements[at], length[at]
-            place = np.minimum(np.searchsorted(probe, piece), n - 1)
-            same = (probe[place] == piece) & (np.arange(STEP) < size[:, None])
-            sums = overlap[parent[at]] + same.sum(axis=1)
-            passed = np.searchsorted(probe, piece[np.arange(len(at)), size - 1], side="right")
-            reach = (sums + most[at] - start - size >= measure.needed(n, most[at])) & (
-                sums + n - passed >= measure.needed(n, least[at])
-            )
-            alive, overlap = np.zeros(len(parent), bool), np.zeros(len(parent), np.int64)
-            alive[at], overlap[at] = reach, sums
-            ends = (self.sizes[sets] <= start + STEP) & alive[nodes]
-            if wanted is not None:
-                ends &= wanted[sets]
-            ended = sets[ends]
-            found.append(ended[overlap[nodes[ends]] >= measure.needed(n, self.sizes[ended])])
-        return np.concatenate(found) if found else np.zeros(0, np.int64)
+        if not len(self.order) or not n:
+            return np.zeros(0, np.int64)
+        place = np.minimum(np.searchsorted(self.values, probe), len(self.values) - 1)
+        held = np.sort(self.rank_of[place[self.values[place] == probe]])
+        present = np.zeros(len(self.values), bool)
+        present[held] = True
+        asked = None if wanted is None else np.concatenate(([0], np.cumsum(wanted[self.order])))
+        todo = [(node, 0) for node in self.top]
+        while todo:
+            node, overlap = todo.pop()
+            run, end, x, done, y, least, most = self.nodes[node]
+            if asked is not None and asked[x] == asked[y]:
+                continue
+            overlap += int(np.count_nonzero(present[run]))
+            left = len(held) - int(np.searchsorted(held, run[-1], side="right"))
+            if overlap + left < measure.needed(n, least) or overlap + most - end < measure.needed(n, most):
+                continue
+            if done > x and overlap >= measure.needed(n, end):
+                found.append(self.order[x:done])
+            todo.extend((child, overlap) for child in self.children[node])
+        out = np.concatenate(found) if found else np.zeros(0, np.int64)
+        return out if wanted is None else out[wanted[out]]
 
 
 def _binary(arrays: list[np.ndarray]) -> pa.Array:
@@ -248,8 +287,8 @@ def whole_sets(docs: DataFrame, ids: DataFrame, measure: Measure) -> DataFrame:
     return per_batch(may_hold(docs, "id", bit_filter(ids, "id")), whole, "id long, whole binary", TEXTS)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, measure: Measure) -> DataFrame:
-    """The pairs a, b that are linked, by their whole sets. ``docs``: id, body; ``pairs``: distinct a, b."""
+def hubs_of(pairs: DataFrame) -> DataFrame:
+    """a, block, id, probe: each ``a`` with blocks of a bounded number of its ``b``; ``a`` itself is the probe of each."""
     hubs = pairs.groupBy("a").agg(F.ceil(F.count("*") / TREE_SETS).cast("int").alias("blocks"))
     members = pairs.join(hubs, "a").select(
         "a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), F.col("b").alias("id"), F.lit(False).alias("probe")
@@ -257,30 +296,45 @@ def verified(docs: DataFrame, pairs: DataFrame, measure: Measure) -> DataFrame:
     probes = hubs.select(
         "a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("a").alias("id"), F.lit(True).alias("probe")
     )
-    places = written(members.unionByName(probes), "places")
+    return written(members.unionByName(probes), "places")
+
 
-    sets = whole_sets(docs, places, measure)
+def verified(docs: DataFrame, pairs: DataFrame, measure: Measure, among: bool = False) -> DataFrame:
+    """Links a, b found by walking prefix trees of whole sets. ``docs``: id, body; ``pairs``: distinct a, b.
+
+    The sets ``b`` of an ``a`` form trees of bounded size, through which the set ``a`` is run. With ``among`` the sets of a
+    tree that it did not link are run through it as well, until all links between groups of the tree are known.
+    """
+    places = hubs_of(pairs)
 
     def link(group: pa.Table) -> pa.Table:
-        ids, is_probe = group["id"].to_pylist(), group["probe"].to_pylist()
+        ids, is_probe = group["id"].to_numpy(), group["probe"].to_numpy(zero_copy_only=False)
         sets = [np.frombuffer(x, np.uint64) for x in group["whole"].to_pylist()]
-        inner = [i for i, probe in enumerate(is_probe) if not probe]
-        tree = PrefixTree([sets[i] for i in inner])
-        out = set()
-        for i, probe in enumerate(is_probe):
-            if probe and len(sets[i]):
-                out.update((ids[i], ids[inner[k]]) for k in tree.search(sets[i], measure).tolist())
-        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+        tree, met, first = PrefixTree(sets), Merger(np.arange(len(sets))), np.flatnonzero(is_probe)
+        out_a, out_b = [], []
+        for i in [*first.tolist(), *(np.flatnonzero(~is_probe).tolist() if among else ())]:
+            if not is_probe[i] and (met.root[i] == met.root[first]).any():
+                continue
+            near = tree.search(sets[i], measure, met.root != met.root[i])
+            if len(near):
+                out_a.append(np.full(len(near), ids[i]))
+                out_b.append(ids[near])
+                met.join(i, near)
+        empty = [np.zeros(0, np.int64)]
+        return pa.table({"a": pa.array(np.concatenate(out_a or empty)), "b": pa.array(np.concatenate(out_b or empty))})
+
+    return places.join(whole_sets(docs, places, measure), "id").groupBy("a", "block").applyInArrow(link, "a long, b long")
 
-    return places.join(sets, "id").groupBy("a", "block").applyInArrow(link, "a long, b long")
 
+def between(shared: DataFrame, group_of: DataFrame) -> DataFrame:
+    """gram, id, n, cnt, component of the n-grams that stand in sets of more than one group.
 
-def crossing(pairs: DataFrame, group_of: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different groups."""
-    left = group_of.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-    right = group_of.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    both = pairs.join(left, "a", "left").join(right, "b", "left")
-    return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    Sets of different groups share no others, so the rest of the search needs no others.
+    """
+    rows = shared.select("gram", "id", "n", "cnt").join(group_of, "id", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "id"))
+    apart = rows.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    return written(rows.join(apart.select("gram"), "gram"), "between")
 
 
 class Merger:
@@ -295,19 +349,14 @@ class Merger:
         self.root[merged] = self.root[i]
 
 
-def frequent_links(docs: DataFrame, shared: DataFrame, hot: DataFrame, group_of: DataFrame, measure: Measure) -> DataFrame:
+def frequent_links(docs: DataFrame, rows: DataFrame, measure: Measure) -> DataFrame:
     """Links a, b that join all groups with similar sets that may share frequent n-grams alone.
 
-    ``docs``: id, body; ``hot``: id, n, hot (frequent n-grams in the head). Blocks of sets are compared by prefix trees
-    of whole sets; a pair already joined, by a group or within the task, is not looked at again.
+    ``docs``: id, body; ``rows``: those of ``between``. Blocks of sets are compared by prefix trees of whole sets; a pair
+    already joined, by a group or within the task, is not looked at again.
     """
-    enough = F.expr(f"1 + int(ceil({measure.num} * n / {measure.den}) div 20)")  # slack of the smallest partner
-    rich = hot.filter(F.col("hot") >= enough).select("id")
-    rows = shared.filter(F.col("cnt") > FREQUENT).select("gram", "id", "n").join(rich, "id")
-    rows = rows.join(group_of, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rows = written(rows.select("gram", "id", "n", "component"), "frequent")
-    mixed = rows.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    left = rows.join(mixed.select("gram"), "gram").groupBy("id", "n", "component").agg(F.count("*").alias("mixed"))
+    enough = F.expr(measure.least_slack())
+    left = rows.filter(F.col("cnt") > FREQUENT).groupBy("id", "n", "component").agg(F.count("*").alias("mixed"))
     # a similar set is in the same band of sizes or in a neighbouring one
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(measure.den / measure.num)) + 1e-9).cast("int")
     left = written(left.filter(F.col("mixed") >= enough).select("id", "component", band.alias("band")), "frequent-sets")
@@ -373,25 +422,28 @@ def groups(docs: DataFrame, measure: Measure = Measure(), doc_id: str = "doc_id"
     # each set with the pivot it shares most with
     star = shared.filter("id <> pivot").groupBy("id", "pivot", "n").agg(F.count("*").alias("c"))
     star = star.groupBy("id", "n").agg(F.max(F.struct("c", (-F.col("pivot")).alias("p"))).alias("best"))
-    star = star.filter(F.col("best.c") * 2 >= 1 + F.expr("n div 20"))
+    star = star.filter("best.c >= 1 + n div 20")
     star = written(star.select((-F.col("best.p")).alias("a"), F.col("id").alias("b")).distinct(), "star")
-    first = written(verified(rows, star, measure), "links")
+    first = written(verified(rows, star, measure, among=True), "links")
     group_of = written(components(first), "first-groups")
 
     # what is left between groups
-    hot = written(
-        shared.groupBy("id", "n").agg(F.count_if(F.col("cnt") > FREQUENT).cast("int").alias("hot")), "hot"
+    left = between(shared, group_of)
+    hot = written(left.groupBy("id").agg(F.count_if(F.col("cnt") > FREQUENT).cast("int").alias("hot")), "hot")
+    cold = left.filter(F.col("cnt") <= FREQUENT)
+    # both sides are named anew, so that they are one exchange
+    one, other = (
+        cold.select("gram", F.col("id").alias(x), F.col("n").alias(y), F.col("component").alias(z))
+        for x, y, z in (("a", "n", "ca"), ("b", "n2", "cb"))
     )
-    cold = shared.filter(F.col("cnt") <= FREQUENT).select("gram", "id", "n")
-    other = cold.select("gram", F.col("id").alias("id2"), F.col("n").alias("n2"))
     alike = f"least(n, n2) * {measure.den} >= greatest(n, n2) * {measure.num}"
-    pairs = cold.join(other, "gram").filter(f"id < id2 and {alike}")
-    pairs = pairs.groupBy(F.col("id").alias("a"), F.col("id2").alias("b"), F.least("n", "n2").alias("n")).agg(F.count("*").alias("c"))
-    left, right = hot.select(F.col("id").alias("a"), F.col("hot").alias("ha")), hot.select(F.col("id").alias("b"), F.col("hot").alias("hb"))
-    pairs = pairs.join(left, "a").join(right, "b").filter("c + least(ha, hb) >= 1 + n div 20")
-    pairs = crossing(pairs.select("a", "b"), group_of)
+    pairs = one.join(other, "gram").filter(f"a < b and ca <> cb and {alike}")
+    pairs = pairs.groupBy("a", "b", "n", "n2").agg(F.count("*").alias("c"))
+    hot_a = hot.select(F.col("id").alias("a"), F.col("hot").alias("ha"))
+    hot_b = hot.select(F.col("id").alias("b"), F.col("hot").alias("hb"))
+    pairs = pairs.join(hot_a, "a").join(hot_b, "b").filter(f"c + least(ha, hb) >= {measure.shared_heads()}").select("a", "b")
     second = written(verified(rows, written(pairs, "pairs"), measure), "links")
-    third = written(frequent_links(rows, shared, hot, group_of, measure), "links")
+    third = written(frequent_links(rows, left, measure), "links")
 
     # rows of one id with different sets are one document
     links = first.unionByName(second).unionByName(third).unionByName(copies)

@@ -141,6 +141,34 @@ def test_jaccard_groups_against_brute_force(spark, monkeypatch, frequent):
     assert sorted(row.doc_id for row in kept.collect()) == sorted(set(group))
 
 
+@pytest.mark.parametrize("measure", [ngram_join.Measure(), ngram_join.Measure(words=2, num=50)])
+def test_walks_of_the_prefix_tree_against_brute_force(measure):
+    made = random.Random(5)
+    for _ in range(60):
+        base = [{made.randrange(60) for _ in range(made.randrange(40))} for _ in range(3)]
+        sets = []
+        for _ in range(made.randrange(40)):
+            one = set(made.choice(base)) | {made.randrange(90) for _ in range(made.randrange(4))}
+            if one and made.random() < 0.5:
+                one.discard(made.choice(sorted(one)))
+            sets.append(one)
+        tree = ngram_join.PrefixTree([np.array(sorted(one), np.uint64) for one in sets])
+        for probe in [*sets[:8], *base, set()]:
+            wanted = np.array([made.random() < 0.7 for _ in sets], bool)
+            alike = [bool(probe & x) and measure.den * len(probe & x) >= measure.num * len(probe | x) for x in sets]
+            asked = np.array(sorted(probe), np.uint64)
+            assert sorted(tree.search(asked, measure)) == [i for i, like in enumerate(alike) if like]
+            assert sorted(tree.search(asked, measure, wanted)) == [i for i, like in enumerate(alike) if like and wanted[i]]
+
+
+def test_near_copies_share_the_nodes_of_a_prefix_tree():
+    made = np.random.default_rng(2)
+    whole = np.unique(made.integers(0, 2**63, 500).astype(np.uint64))
+    copies = [np.unique(np.append(np.delete(whole, made.integers(0, 400, 3)), np.uint64(k))) for k in range(50)]
+    tree = ngram_join.PrefixTree(copies)
+    assert tree.given > 24_000 and tree.stored < tree.given / 5
+
+
 def test_best_path_of_languages():
     made = np.random.default_rng(1)
     sizes = made.integers(0, 6, 8)
