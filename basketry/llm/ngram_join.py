@@ -261,8 +261,8 @@ def bit_filter(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarra
     return out
 
 
-def may_hold(df: DataFrame, column: str, filter_bits: np.ndarray) -> DataFrame:
-    """Drop rows whose value is surely not in the filter."""
+def may_hold(df: DataFrame, column: str, filter_bits: np.ndarray, holds: bool = True) -> DataFrame:
+    """Drop rows whose value is surely not in the filter; these alone are kept without ``holds``."""
     bits = 64 * len(filter_bits)
     shared = df.sparkSession.sparkContext.broadcast(filter_bits)
     schema = df.schema
@@ -271,7 +271,7 @@ def may_hold(df: DataFrame, column: str, filter_bits: np.ndarray) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         place = batch.column("_place").to_numpy()
         keep = (shared.value[place >> 6] >> (place & 63)) & 1
-        return batch.filter(pa.array(keep.astype(bool))).select(schema.names)
+        return batch.filter(pa.array(keep.astype(bool) == holds)).select(schema.names)
 
     return per_batch(placed, run, schema)
 
@@ -410,9 +410,12 @@ def groups(docs: DataFrame, measure: Measure = Measure(), doc_id: str = "doc_id"
     copies = named.select("id", "print").join(prints, "print").filter("id <> node")
     copies = written(copies.select(F.col("node").alias("a"), F.col("id").alias("b"), "print"), "copies")
     # a set stands for its copies: it is the one of the smallest id; other sets of a copy's id stay
-    sets = named.join(copies.select(F.col("b").alias("id"), "print"), ["id", "print"], "left_anti")
+    # only rows whose id may be that of a copy are moved for this
+    bits = bit_filter(copies, "b")
+    asked = may_hold(named, "id", bits).join(copies.select(F.col("b").alias("id"), "print"), ["id", "print"], "left_anti")
+    columns = ("id", "n", "head")
+    sets = written(may_hold(named, "id", bits, holds=False).select(*columns).unionByName(asked.select(*columns)), "heads")
     copies = copies.select("a", "b")
-    sets = written(sets.select("id", "n", "head"), "heads")
     grams = exploded(sets)
     counted = grams.groupBy("gram").agg(F.count("*").cast("int").alias("cnt"), F.min("id").alias("pivot")).filter("cnt > 1")
     counted = written(counted, "grams")
