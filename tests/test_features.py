@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import random
 from collections import defaultdict
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from basketry.operators.lookup import measure
 from basketry.plans.features import (
     FLAG_NAMES,
     FeatureSpec,
@@ -15,7 +19,7 @@ from basketry.plans.features import (
     feature_matrix,
     require_customers,
 )
-from basketry.plans.prepare import MartInputs, prepare_purchases
+from basketry.plans.prepare import MartInputs, SmallSides, hex_keys_as_bytes, items_by_purchase, prepare_purchases
 from conftest import plan_of
 
 AS_OF = date(2025, 8, 1)
@@ -320,6 +324,36 @@ def test_plan_has_no_cross_join_and_no_python(spark):
         assert word not in plan
 
 
+def as_hex(inputs):
+    """The same inputs with keys as the mart makes them: SHA-256 in hex, "0" for none."""
+    def digest(key):
+        return F.when(F.col(key) == 0, "0").otherwise(F.sha2(F.col(key).cast("string"), 256))
+
+    keys = {"customers": ["customer_pk"], "purchases": ["purchase_pk", "customer_pk", "store_pk", "delivery_address_id"],
+            "products": ["product_pk"], "stores": ["store_pk"], "items": ["item_pk", "purchase_pk", "product_pk"],
+            "delivery_addresses": ["delivery_address_id"]}
+    return replace(inputs, **{name: getattr(inputs, name).withColumns({k: digest(k) for k in names})
+                              for name, names in keys.items()})
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_keys_as_bytes_and_items_by_purchase_give_the_same(spark, monkeypatch, small):
+    shop = random_shop(4)
+    packed = items_by_purchase(hex_keys_as_bytes(as_hex(shop.inputs(spark))))
+    assert packed.items.schema["purchase_pk"].dataType.simpleString() == "binary"
+    assert measure({"items": packed.items})["items"].bytes > 3 * 32 * len(shop.items)
+    if not small:
+        monkeypatch.setattr(SmallSides, "measure", classmethod(lambda cls, *_args, **_more: cls()))
+    assert computed(feature_matrix(packed, AS_OF)) == shop.expected()
+
+
+def test_a_key_that_is_no_hex_is_an_error(spark):
+    inputs = random_shop(4).inputs(spark)
+    wrong = replace(as_hex(inputs), products=inputs.products.withColumn("product_pk", F.lit("no hex")))
+    with pytest.raises(PySparkException):
+        hex_keys_as_bytes(wrong).products.collect()
+
+
 def test_empty_inputs_are_refused(spark):
     shop = Shop()
     shop.customer(1)
