@@ -11,6 +11,8 @@ from basketry.functions.pii import SENSITIVE_TOPICS, mask_pii, stamp
 from basketry.functions.variant import MOST_DEPTH, mask_variant, parse_variant, stamped_variant
 
 MESSAGE = "topic string, value string"
+#: messages in a file of a topic folder; a batch of a stream takes some files, so this bounds what a batch holds
+FILE_MESSAGES = 100_000
 
 
 def publish(
@@ -57,9 +59,14 @@ def unpublished(messages: DataFrame) -> DataFrame:
     return bad.select("topic", F.col("unreadable").alias("value"), F.lit("no JSON object, or too deep").alias("reason"))
 
 
-def write_topic_folder(messages: DataFrame, path: str, mode: str = "append") -> None:
-    """Append messages to a topic kept as JSON files."""
-    messages.select("topic", "value").write.mode(mode).json(path)
+def write_topic_folder(messages: DataFrame, path: str, mode: str = "append", file_messages: int = FILE_MESSAGES) -> None:
+    """Append messages to a topic kept as JSON files.
+
+    Messages repeat their field names, so files are compressed to about a twentieth. Those cannot be split; a file ends
+    after ``file_messages``.
+    """
+    writer = messages.select("topic", "value").write.mode(mode).option("maxRecordsPerFile", file_messages)
+    writer.json(path, compression="gzip")
 
 
 def write_kafka(messages: DataFrame, options: Mapping[str, str]) -> None:

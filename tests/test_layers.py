@@ -424,6 +424,32 @@ def test_streams_equal_the_batch_and_replays_change_nothing(spark, tmp_path):
         assert rows(read(name)) == expected[name], name
 
 
+def test_topic_files_are_compressed_and_bounded(spark, tmp_path):
+    sent = spark.range(500).select(F.lit("stores").alias("topic"), F.concat(F.lit('{"store_id":"'), "id", F.lit('"}')).alias("value"))
+    write_topic_folder(sent.coalesce(1), str(tmp_path / "topics"), file_messages=100)
+    files = [path.name for path in (tmp_path / "topics").glob("part-*")]
+    assert len(files) == 5 and all(name.endswith(".json.gz") for name in files)
+    query = subscribe_folder(spark, str(tmp_path / "topics"), max_files=2).writeStream.format("parquet").option(
+        "path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+    query.start().awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(sent)
+
+
+def test_mart_stream_holds_no_batch(spark, tmp_path, monkeypatch):
+    raw = raw_of(spark, **ALL)["raw_purchases"]
+    write_by_month(raw, str(tmp_path / "raw/raw_purchases"))
+    schemas = {"raw_purchases": RAW_SCHEMAS["raw_purchases"]}
+    stream = raw_streams(spark, str(tmp_path / "raw"), schemas)["raw_purchases"]
+    cached = []
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(type(raw), name, lambda df, *_args: cached.append(df) or df)
+    mart_stream(stream, "raw_purchases", str(tmp_path / "mart"), str(tmp_path / "c"), CONTEXT).awaitTermination()
+    assert not cached
+    for target in ("purchases_details", "purchase_item_details", "dim_payment_method"):
+        there = spark.read.parquet(str(tmp_path / "mart" / target)).drop("source")
+        assert rows(there) == rows(mart_table(target, {"raw_purchases": raw}, CONTEXT)), target
+
+
 def test_drop_replays(spark, tmp_path):
     df = spark.sql("SELECT id % 50 AS id, timestamp'2025-01-01 00:00:00' + make_dt_interval(0, 0, cast(id % 50 as int)) "
                    "AS ts FROM range(100)")
