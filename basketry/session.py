@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.dataFrameQueryContext.enabled": "false",
     # wide projections generate methods the JVM will not compile beyond 8000 bytes; smaller ones are faster
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # keys in hex hold half the bits of their text, which zstd leaves out and snappy does not
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

@@ -24,6 +24,15 @@ def test_settings_apply_to_a_running_session(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == SETTINGS["spark.sql.session.timeZone"]
 
 
+def test_hex_keys_are_stored_in_half_their_text(spark, tmp_path):
+    apply_settings(spark)
+    keys = spark.range(0, 20000, 1, 1).select(F.sha2(F.col("id").cast("string"), 256).alias("key"))
+    keys.write.parquet(str(tmp_path / "keys"))
+    stored = sum(path.stat().st_size for path in (tmp_path / "keys").glob("part-*"))
+    assert stored < 0.7 * 64 * 20000
+    assert spark.read.parquet(str(tmp_path / "keys")).distinct().count() == 20000
+
+
 def test_hot_key_of_a_large_lookup_is_split(spark):
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
