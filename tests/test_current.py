@@ -75,6 +75,34 @@ def test_rows_expire_and_may_come_again(spark, tmp_path):
     assert changes.filter(EXPIRED).count() == 1
 
 
+def test_keys_share_the_state_by_group(spark, tmp_path):
+    work = str(tmp_path)
+    delivered = made(3)
+    spark.createDataFrame(delivered, SCHEMA).coalesce(1).write.parquet(f"{work}/in")
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{work}/in")
+    query = changes_stream(stream, ["id", "part"], f"{work}/out", f"{work}/checkpoint", groups=4)
+    query.awaitTermination()
+    assert 0 < max(part["numRowsTotal"] for p in query.recentProgress for part in p["stateOperators"]) <= 4
+    wanted = latest_version(spark.createDataFrame(delivered, SCHEMA), ["id", "part"])
+    changes = spark.read.parquet(f"{work}/out")
+    assert changes.count() == wanted.count()
+    assert str(rows(current_rows(changes, ["id", "part"]))) == str(rows(wanted.select(*changes.drop(EXPIRED).columns)))
+
+
+def test_rows_of_a_group_expire_each_at_its_time(spark, tmp_path):
+    work, options = str(tmp_path), {"ts": "load_date", "days": 30, "groups": 1}
+
+    def row(id_, day):
+        return (id_, "a", 1, "n", 1.0, [], None if day is None else START + timedelta(days=day))
+
+    feed(spark, work, [row(1, 0), row(2, 0), row(3, 5), row(4, 20), row(5, None)], **options)
+    changes = feed(spark, work, [row(6, 36)], **options)
+    assert {r.id for r in changes.filter(EXPIRED).collect()} == {1, 2, 3}
+    changes = feed(spark, work, [row(7, 51)], **options)
+    assert sorted(r.id for r in changes.filter(EXPIRED).collect()) == [1, 2, 3, 4]
+    assert {r.id for r in current_rows(changes, ["id", "part"]).collect()} == {5, 6, 7}
+
+
 def test_other_streams_keep_their_state_store(spark, tmp_path):
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     feed(spark, str(tmp_path), [])
