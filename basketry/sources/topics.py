@@ -38,24 +38,31 @@ def publish_texts(
     """Documents that are JSON text (column ``value``) as messages, with every field they have, known or not.
 
     What ``publish`` does to documents of a schema, at any depth up to ``depth``. A text that is no JSON object, or is
-    nested deeper, becomes a message without a value that ``unpublished`` finds; nothing of it is sent unmasked.
+    nested deeper, becomes a message without a value that ``unpublished`` finds; nothing of it is sent unmasked. What is
+``readable`` is told by the document as it was read, so a filter masks nothing.
     """
     sent = F.current_timestamp() if load_ts is None else load_ts
-    document = stamped_variant(parse_variant(F.col("value"), depth), sent)
-    if topic in sensitive:
-        document = mask_variant(document, depth=depth)
-    message = texts.select(F.lit(topic).alias("topic"), F.col("value").alias("_text"), F.to_json(document).alias("value"))
-    return message.select("topic", "value", F.when(F.col("value").isNull(), F.col("_text")).alias("unreadable"))
+    # through inline, so that a filter on what was read reads no text a second time
+    read = F.struct(stamped_variant(parse_variant(F.col("value"), depth), sent).alias("_document"))
+    documents = texts.select(F.col("value").alias("_text"), F.inline(F.array(read)))
+    document = F.col("_document")
+    masked = mask_variant(document, depth=depth) if topic in sensitive else document
+    return documents.select(
+        F.lit(topic).alias("topic"),
+        F.to_json(masked).alias("value"),
+        F.when(document.isNull(), F.col("_text")).alias("unreadable"),
+        document.isNotNull().alias("readable"),
+    )
 
 
 def published(messages: DataFrame) -> DataFrame:
     """The messages of ``publish_texts`` that can be sent."""
-    return messages.filter("value IS NOT NULL").select("topic", "value")
+    return messages.filter("readable").select("topic", "value")
 
 
 def unpublished(messages: DataFrame) -> DataFrame:
     """The texts that ``publish_texts`` could make no message of, as the reject table of a topic keeps them."""
-    bad = messages.filter("value IS NULL")
+    bad = messages.filter("NOT readable")
     return bad.select("topic", F.col("unreadable").alias("value"), F.lit("no JSON object, or too deep").alias("reason"))
 
 

@@ -36,6 +36,7 @@ from basketry.operators import (
     sample_documents,
     version_stamp,
 )
+from basketry.operators.parallel import spread
 from basketry.operators.quality import REASONS, with_reasons
 from basketry.operators.versioned import MART_DAYS, RAW_DAYS
 from basketry.plans.daily import DayStore
@@ -524,7 +525,7 @@ def _publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _publish_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as text with fields that no schema names: phones and e-mails masked at any depth, the rest unchanged."""
-    documents_ = table(spark, sf_dir, "customer").selectExpr(
+    documents_ = spread(table(spark, sf_dir, "customer"), "c_custkey").selectExpr(
         "if(c_nationkey = 3, concat('{\"unreadable\": ', c_name), to_json(named_struct('_id', c_name, 'key', c_custkey, "
         "'extra', named_struct('Contact Phones', array(concat('8-', c_custkey, '-1'), concat('+7', c_custkey, '2')), "
         "'people', array(named_struct('WorkEmail', concat(' ', c_name, ' '), 'note', c_mktsegment)), "

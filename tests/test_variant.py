@@ -97,3 +97,17 @@ def test_documents_without_an_id_or_with_another(spark):
     assert found[0] == {"a": 1, "kafka_send_date": "2025-08-01T00:00:00.000000"}
     assert found[1]["_id"] == '{"$oid":"ab"}'.lower() and found[2]["_id"] is None
     assert found[2]["kafka_send_date"] == "2025-08-01T00:00:00.000000"
+
+
+def test_what_is_readable_is_found_without_masking(spark):
+    texts = [('{"_id":"X","phone":"8"}',), ("{bad",), ("null",), ("[1]",), (None,)]
+    messages = publish_texts(spark.createDataFrame(texts, "value string"), "customers")
+
+    def masks(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("transform(map_entries(")
+
+    # once, though a filter comes before it
+    assert masks(published(messages)) == masks(messages.select("value")) > 0
+    assert masks(unpublished(messages)) == 0
+    assert [json.loads(row.value)["_id"] for row in published(messages).collect()] == ["x"]
+    assert sorted(row.value or "" for row in unpublished(messages).collect()) == ["", "[1]", "null", "{bad"]
