@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.operators.lookup import fits
 from basketry.plans.features import (
     CATEGORIES,
     FLAG_NAMES,
@@ -221,8 +222,10 @@ class DayStore:
         purchases = latest_purchases(inputs.purchases).withColumn(PERIOD, period)
         items = inputs.items
         if few:
-            # of the items, those of the purchases at hand, before their versions are compared
-            items = items.join(inputs.purchases.select("purchase_pk").distinct(), "purchase_pk", "left_semi")
+            # of the items, those of the purchases at hand, before their versions are compared; the size of a filtered
+            # table is not known before it is read, and without it all items would be shuffled to find a few
+            bought = inputs.purchases.select("purchase_pk").distinct()
+            items = items.join(F.broadcast(bought) if fits(bought) else bought, "purchase_pk", "left_semi")
         items = prepare_items(items, inputs.item_keys)
         rows = purchase_rows(purchases, items, inputs, self.spec, needed, sides).filter("customer_pk IS NOT NULL")
         measured = measure_sql(self.spec)

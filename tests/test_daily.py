@@ -6,6 +6,7 @@ from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.plans import daily
 from basketry.plans.daily import DayStore, bought_between
@@ -94,6 +95,20 @@ def test_refresh_reads_no_old_purchases(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(purchase_datetime), GreaterThanOrEqual(purchase_datetime" in plan
 
 
+def test_a_refresh_shuffles_no_items_of_other_purchases(spark, tmp_path):
+    inputs = random_shop(9).inputs(spark)
+    store = DayStore(spark, str(tmp_path / "store"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")  # as if the tables were large
+    try:
+        for df in store._made(inputs, F.lit("20250801"), few=True).values():
+            semi = [line for line in plan_of(df).split("== Physical Plan ==")[1].split("\n") if "LeftSemi" in line]
+            assert semi and all("BroadcastHashJoin" in line for line in semi)
+    finally:
+        spark.conf.set(threshold, kept)
+
+
 def test_a_roll_up_that_stops_half_way_counts_nothing_twice(spark, tmp_path, monkeypatch):
     shop = random_shop(4)
     inputs = shop.inputs(spark)
