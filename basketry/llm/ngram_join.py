@@ -14,6 +14,7 @@ These first n-grams, the head of a set, are all that is compared before candidat
 4. Links are found by prefix trees of whole sets, ``PrefixTree``: elements stand in the order of falling frequency among
    the sets of a tree, sets that begin alike share their nodes, a walk carries the overlap of a branch for all its sets,
    and leaves a branch as soon as the elements that remain on it and in the probe can't reach the overlap asked for.
+   Compressed texts are moved to the trees, and their sets made there.
 
 ``FREQUENT``, the sizes of blocks and filters, and ``l`` change the work and never the result. N-grams count as equal
 if their 64-bit hashes are; within a pair of sets a chance match is less likely than 1 in 10^12.
@@ -25,6 +26,7 @@ without id has no group and is kept by ``keep_one``. Extra columns are left out
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import TokenTable, input_columns, of_worker, per_batch, ship, table, texts_of, utf8, written
+from basketry.llm.common import input_columns, per_batch, ship, table, texts_of, utf8, written
 from basketry.llm.components import components
 
 FREQUENT = 64
@@ -89,18 +91,13 @@ class Shingler:
 
     def __init__(self, words: int):
         self.words = words
-        self.table = TokenTable(self._hashes, limit=250_000)
-
-    @staticmethod
-    def _hashes(tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))[:, None]
 
     def of(self, text: bytes) -> np.ndarray:
         words = text.lower().split()
         if not words:
             return np.zeros(0, np.uint64)
-        numbers = self.table.numbers(words)
-        hashes = self.table.rows[numbers, 0]
+        # a word is hashed in less time than it is looked up
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         size = min(self.words, len(words))
         count = len(words) - size + 1
         mixed = np.full(count, size, np.uint64)
@@ -111,11 +108,6 @@ class Shingler:
         return np.unique(mixed ^ (mixed >> np.uint64(32)))
 
 
-def shingler(words: int) -> Shingler:
-    """One per worker: its table of word hashes serves all tasks."""
-    return of_worker(("shingler", words), lambda: Shingler(words))
-
-
 class PrefixTree:
     """Sets as a prefix tree: elements in the order of falling frequency, so that sets which share much begin alike.
 
@@ -206,15 +198,11 @@ class PrefixTree:
         return out if wanted is None else out[wanted[out]]
 
 
-def _binary(arrays: list[np.ndarray]) -> pa.Array:
-    return pa.array([a.tobytes() for a in arrays], pa.binary())
-
-
 def sets_of(docs: DataFrame, measure: Measure) -> DataFrame:
     """id, n, print (of the whole set), head of each row. ``docs``: id, body."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        make = shingler(measure.words).of
+        make = Shingler(measure.words).of
         sizes, prints, heads = [], [], []
         for text in texts_of(batch.column("body")):
             whole = make(text)
@@ -276,15 +264,24 @@ def may_hold(df: DataFrame, column: str, filter_bits: np.ndarray, holds: bool =
     return per_batch(placed, run, schema)
 
 
-def whole_sets(docs: DataFrame, ids: DataFrame, measure: Measure) -> DataFrame:
-    """id, whole of the documents of some ids, and perhaps of a few others. ``docs``: id, body."""
+def packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, packed of the documents of some ids, and perhaps of a few others. ``docs``: id, body.
+
+    What is moved to where sets are compared is the compressed text, not its set: hashes don't compress, and a set is
+    nearly three times as large.
+    """
+
+    def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
+        packed = [zlib.compress(text, 1) for text in texts_of(batch.column("body"))]
+        return pa.RecordBatch.from_pydict({"id": batch.column("id"), "packed": pa.array(packed, pa.binary())})
+
+    return per_batch(may_hold(docs, "id", bit_filter(ids, "id")), pack, "id long, packed binary", TEXTS)
 
-    def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
-        make = shingler(measure.words).of
-        sets = [make(text) for text in texts_of(batch.column("body"))]
-        return pa.RecordBatch.from_pydict({"id": batch.column("id"), "whole": _binary(sets)})
 
-    return per_batch(may_hold(docs, "id", bit_filter(ids, "id")), whole, "id long, whole binary", TEXTS)
+def sets_in(packed: pa.ChunkedArray, measure: Measure) -> list[np.ndarray]:
+    """The whole sets of texts from ``packed_texts``."""
+    make = Shingler(measure.words).of
+    return [make(zlib.decompress(text)) for text in packed.to_pylist()]
 
 
 def hubs_of(pairs: DataFrame) -> DataFrame:
@@ -309,7 +306,7 @@ def verified(docs: DataFrame, pairs: DataFrame, measure: Measure, among: bool =
 
     def link(group: pa.Table) -> pa.Table:
         ids, is_probe = group["id"].to_numpy(), group["probe"].to_numpy(zero_copy_only=False)
-        sets = [np.frombuffer(x, np.uint64) for x in group["whole"].to_pylist()]
+        sets = sets_in(group["packed"], measure)
         tree, met, first = PrefixTree(sets), Merger(np.arange(len(sets))), np.flatnonzero(is_probe)
         out_a, out_b = [], []
         for i in [*first.tolist(), *(np.flatnonzero(~is_probe).tolist() if among else ())]:
@@ -323,7 +320,7 @@ def verified(docs: DataFrame, pairs: DataFrame, measure: Measure, among: bool =
         empty = [np.zeros(0, np.int64)]
         return pa.table({"a": pa.array(np.concatenate(out_a or empty)), "b": pa.array(np.concatenate(out_b or empty))})
 
-    return places.join(whole_sets(docs, places, measure), "id").groupBy("a", "block").applyInArrow(link, "a long, b long")
+    return places.join(packed_texts(docs, places), "id").groupBy("a", "block").applyInArrow(link, "a long, b long")
 
 
 def between(shared: DataFrame, group_of: DataFrame) -> DataFrame:
@@ -381,7 +378,7 @@ def frequent_links(docs: DataFrame, rows: DataFrame, measure: Measure) -> DataFr
 
     def search(group: pa.Table) -> pa.Table:
         ids = group["id"].to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in group["whole"].to_pylist()]
+        sets = sets_in(group["packed"], measure)
         is_probe = group["probe"].to_numpy(zero_copy_only=False)
         inner = np.flatnonzero(~is_probe)
         tree, met = PrefixTree([sets[i] for i in inner]), Merger(group["component"].to_numpy())
@@ -397,7 +394,7 @@ def frequent_links(docs: DataFrame, rows: DataFrame, measure: Measure) -> DataFr
         empty = [np.zeros(0, np.int64)]
         return pa.table({"a": pa.array(np.concatenate(out_a or empty)), "b": pa.array(np.concatenate(out_b or empty))})
 
-    return places.join(whole_sets(docs, left, measure), "id").groupBy(*keys).applyInArrow(search, "a long, b long")
+    return places.join(packed_texts(docs, left), "id").groupBy(*keys).applyInArrow(search, "a long, b long")
 
 
 def groups(docs: DataFrame, measure: Measure = Measure(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
