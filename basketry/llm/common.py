@@ -73,7 +73,7 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.
                 out = fn(batch.slice(at, rows))
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
         batch = out = None
-        give_back()
+        rest()
 
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
@@ -89,7 +89,7 @@ def on_texts(fn: Callable[[pa.Array], pa.Array], dtype: str, rows: int) -> Calla
             parts = [fn(batch.slice(at, rows)) for at in range(0, max(1, len(batch)), rows)]
             yield pa.concat_arrays(parts)
         batch = parts = None
-        give_back()
+        rest()
 
     return run.asNondeterministic()
 
@@ -108,6 +108,14 @@ def of_worker(key, make: Callable):
     return _HELD[key]
 
 
+def rest() -> None:
+    """What a worker does at the end of a task: tables that say how drop what is cheap to make again."""
+    for held in _HELD.values():
+        if hasattr(held, "rest"):
+            held.rest()
+    give_back()
+
+
 def let_go() -> None:
     """Drop what the worker keeps, before work that needs none of it."""
     _HELD.clear()

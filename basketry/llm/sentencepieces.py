@@ -31,7 +31,9 @@ MARKER = "▁"
 #: how far below the lowest piece a character spelled in bytes scores
 FALLBACK_PENALTY = 10.0
 #: most parts whose ids a worker remembers
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+#: texts whose parts a worker holds at a time
+TEXTS = 512
 #: longer parts are solved one by one
 SIDE_BY_SIDE = 64
 
@@ -55,8 +57,8 @@ class DoubleArray:
                 node = children[node][byte]
             values[node] = value
         size = 4 * len(children) + 1024
-        self.base, self.check = np.zeros(size, np.int64), np.full(size, -1, np.int64)
-        self.value = np.full(size, -1, np.int64)
+        self.base, self.check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
+        self.value = np.full(size, -1, np.int32)
         taken = bytearray(size)
         taken[0] = 1
         state_of, free = {0: 0}, 1
@@ -243,6 +245,10 @@ class Unigram:
             del self.known[part]
         return out
 
+    def rest(self) -> None:
+        """Forget what is remembered: workers that wait would each hold it."""
+        self.known.clear()
+
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))[1:]
 
@@ -278,25 +284,21 @@ def encode(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str =
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = unigram(model_file, zipf)
-        parts = []
-        for at in range(0, batch.num_rows, 2048):
-            texts = texts_of(batch.column("body").slice(at, 2048))
-            ids = model.encode(texts)
-            same = [model.decode(some) == text for some, text in zip(ids, texts, strict=True)]
-            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-            flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
-            parts.append((pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), flat), sizes, same))
-        return pa.Table.from_pydict(
+        texts = texts_of(batch.column("body"))
+        ids = model.encode(texts)
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+        flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
+        return pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch.column("doc_id"),
-                "ids": pa.chunked_array([part[0] for part in parts]),
-                "n_tokens": pa.array(np.concatenate([part[1] for part in parts]), pa.int64()),
-                "round_trip": pa.array([x for part in parts for x in part[2]]),
+                "ids": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), flat),
+                "n_tokens": pa.array(sizes, pa.int64()),
+                "round_trip": pa.array([model.decode(some) == text for some, text in zip(ids, texts, strict=True)]),
             }
         )
 
-    out = per_batch(rows.select("doc_id", utf8("body").alias("body")), run, f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean")
-    return out
+    schema = f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean"
+    return per_batch(rows.select("doc_id", utf8("body").alias("body")), run, schema, TEXTS)
 
 
 def decode(encoded: DataFrame, model_file: str, doc_id: str = "doc_id", ids: str = "ids", zipf: bool = True) -> DataFrame:

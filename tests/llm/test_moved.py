@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 
-from basketry.llm import common, ngram_join
+import numpy as np
+import public_tokenizers
+
+from basketry.llm import common, ngram_join, sentencepieces
 
 
 def test_join_moves_texts_smaller_than_their_sets(spark):
@@ -22,3 +25,17 @@ def test_join_moves_texts_smaller_than_their_sets(spark):
         assert row.n == len(sets[row.id])
         assert sets[row.id][: measure.head(row.n)].tobytes() == row.head
     assert 2 * sum(map(len, moved["packed"].to_pylist())) < 8 * sum(map(len, sets.values()))
+
+
+def test_encoder_forgets_at_the_end_of_a_task():
+    """A worker that waits holds the trie, not the parts it has met; ids are the same after it."""
+    common.let_go()
+    model = sentencepieces.unigram(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [f"Some words {k} and more".encode() for k in range(50)]
+    first = model.encode(texts)
+    assert model.known
+    common.rest()
+    assert not model.known
+    assert sentencepieces.unigram(public_tokenizers.path("piece_bpe_32k.model")) is model
+    assert all(np.array_equal(a, b) for a, b in zip(first, model.encode(texts), strict=True))
+    common.let_go()
