@@ -264,6 +264,24 @@ def may_hold(df: DataFrame, column: str, filter_bits: np.ndarray, holds: bool =
     return per_batch(placed, run, schema)
 
 
+def parted(df: DataFrame, column: str, values: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose value is surely not among ``values``, and the others, which alone must be moved to be told apart.
+
+    Only the hash of the value goes to Python; the rows stay where they are.
+    """
+    filter_bits = bit_filter(values, column)
+    bits = 64 * len(filter_bits)
+    shared = df.sparkSession.sparkContext.broadcast(filter_bits)
+
+    @F.arrow_udf("boolean")
+    def held(places: pa.Array) -> pa.Array:
+        place = places.to_numpy()
+        return pa.array(((shared.value[place >> 6] >> (place & 63)) & 1).astype(bool))
+
+    may = held(F.pmod(F.xxhash64(column), F.lit(bits)))
+    return df.filter(~may), df.filter(may)
+
+
 def packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """id, packed of the documents of some ids, and perhaps of a few others. ``docs``: id, body.
 
@@ -456,18 +474,22 @@ def groups(docs: DataFrame, measure: Measure = Measure(), doc_id: str = "doc_id"
 def keep_one(docs: DataFrame, measure: Measure = Measure(words=5, num=80), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of each group: the one of the smallest id.
 
-    Of rows that repeat an id the one of the smallest text stays.
+    Of rows that repeat an id the one of the smallest text stays. Rows are moved only if their id may be one to drop or
+    one that repeats.
     """
     names = docs.columns
     found = written(groups(docs, measure, doc_id, text), "groups").filter(F.col("doc_id").isNotNull())
     roles = found.groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("c"), F.count("*").alias("rows"))
     boxed = docs.select(docs[f"`{doc_id}`"].cast("long").alias("key"), F.struct(*(docs[f"`{n}`"] for n in names)).alias("row"))
-    kept = boxed.join(roles.filter("c <> key").select("key"), "key", "left_anti")
+    gone = written(roles.filter("c <> key").select("key"), "gone")
+    stay, asked = parted(boxed, "key", gone)
+    kept = stay.unionByName(asked.join(gone, "key", "left_anti"))
     twice = roles.filter("c = key and rows > 1").select("key")
     if not twice.isEmpty():
+        once, asked = parted(kept, "key", twice)
         first = Window.partitionBy("key").orderBy(F.col("row").getField(text).asc_nulls_first())
-        again = kept.join(twice, "key", "left_semi").withColumn("place", F.row_number().over(first)).filter("place = 1")
-        kept = kept.join(twice, "key", "left_anti").unionByName(again.drop("place"))
+        again = asked.join(twice, "key", "left_semi").withColumn("place", F.row_number().over(first)).filter("place = 1")
+        kept = once.unionByName(asked.join(twice, "key", "left_anti")).unionByName(again.drop("place"))
     return kept.select(*(F.col("row").getField(n).alias(n) for n in names))
 
 

@@ -39,3 +39,25 @@ def test_encoder_forgets_at_the_end_of_a_task():
     assert sentencepieces.unigram(public_tokenizers.path("piece_bpe_32k.model")) is model
     assert all(np.array_equal(a, b) for a, b in zip(first, model.encode(texts), strict=True))
     common.let_go()
+
+
+def test_keep_one_moves_only_rows_that_may_be_dropped(spark):
+    """A row whose id is surely none to drop reaches the result without a join, so without a shuffle of its text."""
+    texts = [" ".join(f"w{k}x{j}" for j in range(12)) for k in range(40)]
+    rows = [*enumerate(texts), *((100 + k, texts[k]) for k in range(5)), (None, texts[0]), (7, "a text of its own"), (60, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = ngram_join.keep_one(docs)
+    found = sorted(map(tuple, kept.collect()), key=str)
+    assert found == sorted([*((k, t) for k, t in enumerate(texts) if k != 7), (None, texts[0]), (7, "a text of its own"), (60, None)], key=str)
+
+    once = ngram_join.keep_one(docs.filter("doc_id <> 7"))
+    node = once._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Union" and node.children().size():
+        node = node.children().apply(0)
+    assert node.nodeName() == "Union"
+    assert [" Join " in node.children().apply(i).toString().replace("\n", " ") for i in range(2)] == [False, True]
+
+    gone = spark.createDataFrame([(100,), (101,)], "doc_id long")
+    stay, asked = ngram_join.parted(docs, "doc_id", gone)
+    assert stay.count() + asked.count() == len(rows)
+    assert {100, 101} <= {row.doc_id for row in asked.collect()} and asked.count() < 5
