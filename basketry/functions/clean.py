@@ -75,12 +75,12 @@ def safe_json(column: Column, schema: T.DataType | str) -> Column:
     return F.coalesce(F.from_json(column, schema), F.from_json(F.lit("{}"), schema))
 
 
-def parse_json(df: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
+def parse_json(df: DataFrame, schema: T.StructType | str, column: str = "value", **options: str) -> DataFrame:
     """Add the fields of the JSON in a column; a field of the schema named CORRUPT takes text that is no such JSON.
 
     The value goes through ``inline``, so that a filter on the fields does not parse it a second time.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options}
     return df.select("*", F.inline(F.array(F.from_json(column, schema, options))))
 
 

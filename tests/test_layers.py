@@ -10,6 +10,7 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from basketry.functions.clean import safe_float
 from basketry.functions.keys import Keys
 from basketry.operators import latest_version
 from basketry.plans.features import FLAG_NAMES
@@ -19,12 +20,13 @@ from basketry.plans.mart import (
     MART_KEYS,
     MartContext,
     contributions,
+    explode_items,
     mart_rejects,
     mart_table,
     quantity_text,
 )
 from basketry.plans.pipeline import documents_to_raw, raw_to_mart, run
-from basketry.schemas import CORRUPT, RAW_SCHEMAS
+from basketry.schemas import CORRUPT, ITEM_EXTRACT, RAW_SCHEMAS
 from basketry.sources.documents import load_all, read_documents
 from basketry.sources.export import export_csv
 from basketry.sources.tables import (
@@ -476,3 +478,48 @@ def test_documents_to_raw_masks(spark, tmp_path):
     folder = write_folder(tmp_path / "stores", [STORE])
     raw = documents_to_raw({"stores": read_documents(spark, folder, "stores").good})
     assert raw["raw_stores"].first().manager_email == digest("a@b.ru")
+
+
+ODD_ITEMS = [
+    None, "", " ", "null", "5", '"text"', "[]", "[ ]", "{}", "[null]", "[{}]", '[{}, null, {"product_id": null}]',
+    '{"product_id": "a"}', "[", "]", "[{]", '[{"product_id": "a"}', '[{"product_id": "a"}, {"unit"', '[{"product_id": "a"},]',
+    '[{"product_id": "a"}] rest', '[{"product_id": "a"}], "x": 1', '[{"product_id": "a"}]}', '[{"product_id": "a"}]} rest',
+    '[{"product_id": "a"}], "\\u0001": [{"product_id": "b"}]', '[{"product_id": "a"}], "\u0001": [{"product_id": "b"}]',
+    '[{"product_id": "a"}] [{"product_id": "b"}]', '[{"product_id": "\\u0001"}]', '[{"product_id": "\\\\u0001"}]',
+    '[{"product_id": "a"}, 5, "x", "", [], [{"product_id": "b"}], {"product_id": "c"}]', '["{\\"product_id\\": \\"a\\"}"]',
+    '[{"product_id": "a", "manufacturer": "m"}, {"product_id": "b", "manufacturer": {"name": "n", "inn": 1}}]',
+    '[{"product_id": "a", "manufacturer": []}, {"product_id": "b", "manufacturer": ""}, {"product_id": "c", "manufacturer": {}}]',
+    '[{"quantity": 1.50, "total_price": 1e3}, {"quantity": 12345678901234567890.10, "total_price": -0.0}]',
+    '[{"quantity": NaN, "total_price": -Infinity}, {"quantity": 01}]', '[{"quantity": NaN, "total_price": "1_0.5"}]',
+    '[{"product_id": 1.50, "category": 1e3, "unit": 12345678901234567890.10, "manufacturer": {"name": -0.0, "inn": 1E400}}]',
+    '[{"product_id": 100000000000000000000000, "category": 0.1e-7, "unit": 1.0, "manufacturer": {"name": -Infinity}}]',
+    '[{"product_id": {"a": 1E400}, "category": [-1E400], "unit": "\\"Infinity\\""}, null, {"manufacturer": {"inn": 1e999}}]',
+    '[{"quantity": true, "unit": {"a" : [1.0, 2 ], "b":"\\u00e9"}, "category": [ 1.10,null]}]',
+    '[{"product_id": "a", "product_id": "b", "other": {"product_id": "c"}}, {"Product_ID": "d"}]',
+    '[{"product_id": "\\ud83e\\udd5b \\n \\"", "category": "🥛 é\\/"}]', "[{'product_id': 'a'}]", '[{"product_id": "a\tb"}]',
+    '\ufeff[{"product_id": "a"}]', '[{"product_id": "a"} /* no */]', '[{"product_id": "\\ud83e"}]', '[{"product_id": "a", "x": }]',
+]
+
+
+def test_items_parsed_in_one_pass_are_those_parsed_one_by_one(spark):
+    raw = spark.createDataFrame([(str(k), None, k, text) for k, text in enumerate(ODD_ITEMS)],
+                                "purchase_id string, load_date timestamp, version bigint, items string")
+    alone = F.transform(F.from_json("items", "array<string>"), lambda element: F.from_json(element, ITEM_EXTRACT))
+    expected = raw.select("purchase_id", F.explode(alone).alias("i")).select(
+        "purchase_id", *[F.coalesce(f"i.{name}", F.lit("")) for name in ("product_id", "category", "unit")],
+        *[safe_float(F.col(f"i.{name}")) for name in ("quantity", "total_price")],
+        *[F.coalesce(f"i.manufacturer.{name}", F.lit("")) for name in ("name", "inn")])
+    found = explode_items(raw)
+    assert sorted(map(str, map(tuple, found.drop("load_date", "version").collect()))) == sorted(map(str, map(tuple, expected.collect())))
+    # one pass for items without a fault, not two
+    assert "explode(CASE WHEN" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_quantity_text_of_odd_numbers(spark):
+    """The text is made without a regular expression, and is the same."""
+    odd = [None, float("nan"), float("inf"), -0.0, 0.0, 1e10, 1e7, 1e-7, 1.05, 100.0, -3.0, 2.50, 123456.0]
+    df = spark.createDataFrame([(q,) for q in odd], "q double")
+    text = quantity_text(F.col("q"))
+    pairs = df.select(text, F.regexp_replace(F.col("q").cast("string"), r"\.0$", "")).collect()
+    assert all(found == expected for found, expected in pairs)
+    assert "regexp" not in df.select(text)._jdf.queryExecution().optimizedPlan().toString()
