@@ -9,14 +9,15 @@ These first n-grams, the head of a set, are all that is compared before candidat
    n-grams. Walks of the shard's prefix trees link nearly all copies to their group.
 3. Only n-grams that stand in sets of more than one group go on, as sets of different groups share no others. Those in
    at most ``FREQUENT`` heads bring together the sets that may still be linked, if their heads can share what the bound
-   asks for. Sets with so many frequent n-grams that a pair could share these
-   alone are compared in blocks; sets that a task has joined are not compared again.
+   asks for. Sets with so many frequent n-grams that a pair could share these alone are cut into parts by the values of
+   their elements: similar sets differ in fewer elements than there are parts, so some parts are equal. Only sets that
+   hold too many parts which many sets hold are compared in blocks; sets that a task has joined are not compared again.
 4. Links are found by prefix trees of whole sets, ``PrefixTree``: elements stand in the order of falling frequency among
    the sets of a tree, sets that begin alike share their nodes, a walk carries the overlap of a branch for all its sets,
    and leaves a branch as soon as the elements that remain on it and in the probe can't reach the overlap asked for.
    Compressed texts are moved to the trees, and their sets made there.
 
-``FREQUENT``, the sizes of blocks and filters, and ``l`` change the work and never the result. N-grams count as equal
+``FREQUENT``, ``PART_SETS``, the sizes of blocks and filters, and ``l`` change the work and never the result. N-grams count as equal
 if their 64-bit hashes are; within a pair of sets a chance match is less likely than 1 in 10^12.
 
 Defined results: a text without words, null ones too, has an empty set and is linked with nothing; one of fewer words
@@ -39,6 +40,8 @@ from basketry.llm.common import input_columns, per_batch, ship, table, texts_of,
 from basketry.llm.components import components
 
 FREQUENT = 64
+#: most sets that a part of them brings together pair by pair; a block compares more of them in less time
+PART_SETS = 16
 #: most sets in a prefix tree
 TREE_SETS = 256
 #: sets with frequent n-grams compared with each other in one task, squared
@@ -82,6 +85,23 @@ class Measure:
         rest = ", ".join(f"int(ceil({self.num} * {x} / {self.den})) - 1 - {x} div 20" for x in ("n", "n2"))
         return f"int(ceil({self.num} * (n + n2) / {self.num + self.den})) - greatest({rest})"
 
+    def apart(self, n):
+        """The most elements that stand in only one of two similar sets, of which one has ``n``. Also as SQL."""
+        if isinstance(n, str):
+            return f"({n} * {self.den} div {self.num} - {n})"
+        return n * self.den // self.num - n
+
+    def band(self, n: int) -> int:
+        """A similar set is in the same band of sizes or in a neighbouring one."""
+        return int(np.floor(np.log(n) / np.log(self.den / self.num) + 1e-9))
+
+    def parts(self, window: int) -> int:
+        """Into how many parts the sets of two neighbouring bands are cut, the lower one being ``window``.
+
+        Half more than the elements by which similar ones can differ, so that a third of the parts may be held by many.
+        """
+        return 3 * self.apart(int((self.den / self.num) ** (window + 2)) + 1) // 2 + 2
+
     def head(self, n: int) -> int:
         return n - self.least_partner(n) + self.slack(n) if n else 0
 
@@ -221,16 +241,21 @@ def sets_of(docs: DataFrame, measure: Measure) -> DataFrame:
     return per_batch(docs, run, "id long, n int, print binary, head binary", TEXTS)
 
 
-def exploded(sets: DataFrame) -> DataFrame:
-    """A row per element of each head: gram, id, n."""
+def exploded(sets: DataFrame, filter_bits: np.ndarray | None = None) -> DataFrame:
+    """A row per element of each head: gram, id, n; without those that are surely not in a filter of ``own_bits``."""
+    shared = None if filter_bits is None else sets.sparkSession.sparkContext.broadcast(filter_bits)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         heads = [np.frombuffer(head, np.int64) for head in batch.column("head").to_pylist()]
         counts = np.fromiter(map(len, heads), np.int64, len(heads))
-        take = np.repeat(np.arange(len(heads)), counts)
+        grams, take = np.concatenate(heads), np.repeat(np.arange(len(heads)), counts)
+        if shared is not None:
+            place = grams & (64 * len(shared.value) - 1)
+            may = ((shared.value[place >> 6] >> (place & 63)) & 1).astype(bool)
+            grams, take = grams[may], take[may]
         return pa.RecordBatch.from_pydict(
             {
-                "gram": pa.array(np.concatenate(heads)),
+                "gram": pa.array(grams),
                 "id": batch.column("id").take(pa.array(take)),
                 "n": batch.column("n").take(pa.array(take)),
             }
@@ -241,7 +266,15 @@ def exploded(sets: DataFrame) -> DataFrame:
 
 def bit_filter(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
     """A bit for the hash of each value; of fixed size, so that it may be collected and broadcast."""
-    place = F.pmod(F.xxhash64(column), F.lit(bits))
+    return _bits(df, F.pmod(F.xxhash64(column), F.lit(bits)), bits)
+
+
+def own_bits(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
+    """The same of values that are hashes, placed by their lowest bits. ``bits`` is a power of two."""
+    return _bits(df, F.col(column).bitwiseAND(F.lit(bits - 1)), bits)
+
+
+def _bits(df: DataFrame, place: F.Column, bits: int) -> np.ndarray:
     words = df.select(place.alias("p")).groupBy(F.expr("p div 64").alias("w"))
     found = words.agg(F.expr("bit_or(shiftleft(1L, int(p % 64)))").alias("b")).toArrow()
     out = np.zeros(bits // 64, np.int64)
@@ -293,7 +326,7 @@ def packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
         packed = [zlib.compress(text, 1) for text in texts_of(batch.column("body"))]
         return pa.RecordBatch.from_pydict({"id": batch.column("id"), "packed": pa.array(packed, pa.binary())})
 
-    return per_batch(may_hold(docs, "id", bit_filter(ids, "id")), pack, "id long, packed binary", TEXTS)
+    return per_batch(parted(docs, "id", ids)[1], pack, "id long, packed binary", TEXTS)
 
 
 def sets_in(packed: pa.ChunkedArray, measure: Measure) -> list[np.ndarray]:
@@ -364,17 +397,103 @@ class Merger:
         self.root[merged] = self.root[i]
 
 
+def part_keys(docs: DataFrame, ids: DataFrame, measure: Measure) -> DataFrame:
+    """A row per part, not empty, of the whole sets of some ids: id, mark (of the set), n, window, parts, empty, key.
+
+    A set is cut as the others of its two windows are, pairs of neighbouring bands. Equal parts have equal keys.
+    """
+    mix, mix2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+    def mixed(values: np.ndarray) -> np.ndarray:
+        values = values * mix
+        values = (values ^ (values >> np.uint64(29))) * mix2
+        return values ^ (values >> np.uint64(32))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        make = Shingler(measure.words).of
+        keys, marks, numbers = [np.zeros(0, np.uint64)], [], []
+        for i, text in enumerate(texts_of(batch.column("body"))):
+            whole = make(text)
+            if not len(whole):
+                continue
+            each, band = mixed(whole), measure.band(len(whole))
+            for window in (band - 1, band):
+                parts = measure.parts(window)
+                # values are spread evenly, so the parts are ranges of values
+                part = (whole >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+                first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+                place = part[first] | (np.uint64(window + 1) << np.uint64(40))
+                keys.append(mixed(np.add.reduceat(each, first) ^ mixed(place)))
+                marks.append(each.sum())
+                numbers.append((i, len(first), len(whole), window, parts, parts - len(first)))
+        rows, held, *rest = np.array(numbers, np.int64).reshape(-1, 6).T
+        return pa.RecordBatch.from_pydict(
+            {
+                "id": batch.column("id").take(pa.array(np.repeat(rows, held))),
+                "mark": pa.array(np.repeat(np.array(marks, np.uint64), held).view(np.int64)),
+                **{
+                    name: pa.array(np.repeat(values, held).astype(np.int32))
+                    for name, values in zip(("n", "window", "parts", "empty"), rest)
+                },
+                "key": pa.array(np.concatenate(keys).view(np.int64)),
+            }
+        )
+
+    schema = "id long, mark long, n int, window int, parts int, empty int, key long"
+    return per_batch(parted(docs, "id", ids)[1], run, schema, TEXTS)
+
+
+def by_parts(docs: DataFrame, left: DataFrame, measure: Measure) -> tuple[DataFrame, DataFrame]:
+    """Pairs a, b of sets of different groups that may be similar; and id of the sets whose pairs these may lack.
+
+    ``left``: id, component. Similar sets differ in ``apart`` elements at most, each of which spoils one part, so all
+    other parts are equal. Of these, some may be empty or held by more than ``PART_SETS`` sets; if a set has so few of such
+    that one more must be equal, its pairs are found by that one.
+    """
+    made = part_keys(docs, left, measure).join(left.select("id", "component").distinct(), "id")
+    made = written(made, "parts")
+    # equal parts within one group bring nothing together
+    held = made.groupBy("key").agg(F.count("*").alias("cnt"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    live = written(made.join(held.filter("lo <> hi").select("key", "cnt"), "key"), "live-parts")
+    one_set = ["id", "mark", "n", "window"]
+    lost = live.groupBy(*one_set, "parts", "empty").agg((F.count_if(F.col("cnt") > PART_SETS) + F.col("empty")).alias("lost"))
+    asked = f"parts - {measure.apart('n')}"
+    open_ = lost.filter(f"lost >= {asked}").select("id").unionByName(made.filter(f"empty >= {asked}").select("id")).distinct()
+    rare = live.filter(F.col("cnt") <= PART_SETS).drop("cnt", "empty").join(lost.drop("parts", "empty"), one_set)
+    # both sides are named anew, so that they are one exchange
+    rare = written(rare, "rare-parts")
+    one, other = (
+        rare.select("key", "window", "parts", *(F.col(name).alias(f"{name}{end}") for name in ("id", "mark", "n", "lost", "component")))
+        for end in ("", "2")
+    )
+    alike = f"least(n, n2) * {measure.den} >= greatest(n, n2) * {measure.num}"
+    pairs = one.join(other, ["key", "window", "parts"]).filter(f"id < id2 and component <> component2 and {alike}")
+    pairs = pairs.groupBy("id", "mark", "n", "lost", "id2", "mark2", "n2", "lost2", "window", "parts").agg(F.count("*").alias("c"))
+    spoilt = f"(n + n2 - 2 * int(ceil({measure.num} * (n + n2) / {measure.num + measure.den})))"
+    pairs = pairs.filter(f"c + least(lost, lost2) >= parts - {spoilt}")
+    return written(pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct(), "pairs"), written(open_, "open-sets")
+
+
 def frequent_links(docs: DataFrame, rows: DataFrame, measure: Measure) -> DataFrame:
     """Links a, b that join all groups with similar sets that may share frequent n-grams alone.
 
-    ``docs``: id, body; ``rows``: those of ``between``. Blocks of sets are compared by prefix trees of whole sets; a pair
-    already joined, by a group or within the task, is not looked at again.
+    ``docs``: id, body; ``rows``: those of ``between``. Sets with equal parts are compared pair by pair, those left open in
+    blocks, by prefix trees of whole sets; a pair already joined, by a group or within the task, is not looked at again.
     """
     enough = F.expr(measure.least_slack())
     left = rows.filter(F.col("cnt") > FREQUENT).groupBy("id", "n", "component").agg(F.count("*").alias("mixed"))
-    # a similar set is in the same band of sizes or in a neighbouring one
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(measure.den / measure.num)) + 1e-9).cast("int")
     left = written(left.filter(F.col("mixed") >= enough).select("id", "component", band.alias("band")), "frequent-sets")
+    pairs, open_ = by_parts(docs, left, measure)
+    left = written(left.join(open_, "id", "left_semi"), "frequent-sets")
+    return verified(docs, pairs, measure).unionByName(block_links(docs, left, measure))
+
+
+def block_links(docs: DataFrame, left: DataFrame, measure: Measure) -> DataFrame:
+    """Links a, b between sets of different groups, each block of sets compared with each that may hold similar ones.
+
+    ``docs``: id, body; ``left``: id, component, band. The work grows with the square of these sets in a band.
+    """
     blocks = left.groupBy("band").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
     own = left.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # each block as a tree against each block of probes of its band and of the band below
@@ -434,7 +553,7 @@ def groups(docs: DataFrame, measure: Measure = Measure(), doc_id: str = "doc_id"
     grams = exploded(sets)
     counted = grams.groupBy("gram").agg(F.count("*").cast("int").alias("cnt"), F.min("id").alias("pivot")).filter("cnt > 1")
     counted = written(counted, "grams")
-    grams = may_hold(grams, "gram", bit_filter(counted, "gram"))
+    grams = exploded(sets, own_bits(counted, "gram"))
     shared = written(grams.join(counted, "gram"), "shared")
 
     # each set with the pivot it shares most with
