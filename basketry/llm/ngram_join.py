@@ -398,7 +398,7 @@ class Merger:
 
 
 def part_keys(docs: DataFrame, ids: DataFrame, measure: Measure) -> DataFrame:
-    """A row per part, not empty, of the whole sets of some ids: id, mark (of the set), n, window, parts, empty, key.
+    """Two rows per whole set of some ids: id, mark (of the set), n, window, parts, empty, keys (of parts not empty).
 
     A set is cut as the others of its two windows are, pairs of neighbouring bands. Equal parts have equal keys.
     """
@@ -427,19 +427,17 @@ def part_keys(docs: DataFrame, ids: DataFrame, measure: Measure) -> DataFrame:
                 marks.append(each.sum())
                 numbers.append((i, len(first), len(whole), window, parts, parts - len(first)))
         rows, held, *rest = np.array(numbers, np.int64).reshape(-1, 6).T
+        ends = np.concatenate(([0], np.cumsum(held))).astype(np.int32)
         return pa.RecordBatch.from_pydict(
             {
-                "id": batch.column("id").take(pa.array(np.repeat(rows, held))),
-                "mark": pa.array(np.repeat(np.array(marks, np.uint64), held).view(np.int64)),
-                **{
-                    name: pa.array(np.repeat(values, held).astype(np.int32))
-                    for name, values in zip(("n", "window", "parts", "empty"), rest)
-                },
-                "key": pa.array(np.concatenate(keys).view(np.int64)),
+                "id": batch.column("id").take(pa.array(rows)),
+                "mark": pa.array(np.array(marks, np.uint64).view(np.int64)),
+                **{name: pa.array(values.astype(np.int32)) for name, values in zip(("n", "window", "parts", "empty"), rest)},
+                "keys": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys).view(np.int64))),
             }
         )
 
-    schema = "id long, mark long, n int, window int, parts int, empty int, key long"
+    schema = "id long, mark long, n int, window int, parts int, empty int, keys array<long>"
     return per_batch(parted(docs, "id", ids)[1], run, schema, TEXTS)
 
 
@@ -451,7 +449,7 @@ def by_parts(docs: DataFrame, left: DataFrame, measure: Measure) -> tuple[DataFr
     that one more must be equal, its pairs are found by that one.
     """
     made = part_keys(docs, left, measure).join(left.select("id", "component").distinct(), "id")
-    made = written(made, "parts")
+    made = written(made.withColumn("key", F.explode("keys")).drop("keys"), "parts")
     # equal parts within one group bring nothing together
     held = made.groupBy("key").agg(F.count("*").alias("cnt"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     live = written(made.join(held.filter("lo <> hi").select("key", "cnt"), "key"), "live-parts")
